@@ -109,7 +109,8 @@ clients AS (
 _ACCOUNTS = """
 accounts AS (
   SELECT c_custkey + 1001 AS id_account, 'A' || c_custkey AS account_name, c_custkey + 1 AS id_client,
-         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment || ' of nation ' || c_nationkey END AS account_description
+         CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment || ' of nation ' || c_nationkey END AS account_description,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 2 ELSE 3 END AS id_bal2
   FROM customer)"""
 _NEW_CLIENTS = f"""
 WITH {_CLIENTS}
@@ -542,7 +543,7 @@ WHERE c_custkey = (SELECT customer_id FROM heads WHERE order_id = (SELECT order_
     "seed_and_validate_finance": f"""
 WITH {_CLIENTS}, {_ACCOUNTS}
 SELECT CAST(id AS INTEGER) AS id_bal2, name, description, 1 AS id_bal2_parent, DATE '2099-01-01' AS valid_to,
-       CASE WHEN id = 3 THEN (SELECT count(*) FROM accounts) ELSE 0 END AS accounts,
+       (SELECT count(*) FROM accounts WHERE id_bal2 = id) AS accounts,
        (SELECT count(*) FILTER (WHERE account_description IS NULL) + count(*) FILTER (WHERE length(account_name) > 20)
              + count(*) FILTER (WHERE length(account_description) > 512) FROM accounts) AS broken_fields,
        (SELECT count(*) FROM accounts WHERE id_client NOT IN (SELECT id_client FROM clients)) AS without_client,
@@ -571,15 +572,15 @@ SELECT * FROM clients UNION ALL
 SELECT (SELECT max(id_client) FROM clients) + 1, 'Seed client', DATE '1995-01-01', DATE '2099-01-01', false""",
     "account_upsert": _NEW_CLIENTS + f"""
 , {_ACCOUNTS}
-, known AS (SELECT id_account, account_name, id_client FROM accounts WHERE id_client IN (SELECT id_client FROM clients))
+, known AS (SELECT id_account, account_name, id_client, id_bal2 FROM accounts WHERE id_client IN (SELECT id_client FROM clients))
 , every_client AS (SELECT id_client, client_name FROM clients UNION ALL SELECT id_client, client_name FROM added)
 , missing AS (
-  SELECT DISTINCT 'A' || c_custkey AS account_name, e.id_client
+  SELECT DISTINCT 'A' || c_custkey AS account_name, e.id_client, CASE WHEN c_mktsegment = 'BUILDING' THEN 2 ELSE 3 END AS id_bal2
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN every_client e ON e.client_name = c_name
   WHERE 'A' || c_custkey NOT IN (SELECT account_name FROM known))
-SELECT id_account, account_name, id_client, 3 AS id_bal2, DATE '2099-01-01' AS valid_to FROM known
+SELECT id_account, account_name, id_client, id_bal2, DATE '2099-01-01' AS valid_to FROM known
 UNION ALL
-SELECT (SELECT max(id_account) FROM known) + row_number() OVER (ORDER BY account_name), account_name, id_client, 3,
+SELECT (SELECT max(id_account) FROM known) + row_number() OVER (ORDER BY account_name), account_name, id_client, id_bal2,
        DATE '2099-01-01' FROM missing""",
     "staging_resolve": f"""
 WITH {_HEADS}, {_CLIENTS}

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.operators.ordered import with_position
+from salesops.sources.storage import materialize
 
 
 def seed_rows(df_like: DataFrame, rows: list[dict]) -> DataFrame:
@@ -34,8 +35,8 @@ def next_id_after(target: DataFrame, id_col: str) -> Column:
 def assign_ids(rows: DataFrame, id_col: str, order: list[Column], start: Column | int = 0) -> DataFrame:
     """Identity values start + 1, start + 2, ... in ``order``, without a one-task window."""
     start = start if isinstance(start, Column) else F.lit(start)
-    placed = with_position(rows.drop(id_col), order, "_place")
-    return placed.withColumn(id_col, (start + F.col("_place")).cast("bigint")).drop("_place")
+    placed = with_position(rows.drop(id_col), order, "_position")
+    return placed.withColumn(id_col, (start + F.col("_position")).cast("bigint")).drop("_position")
 
 
 def insert_rows(target: DataFrame, rows: DataFrame, id_col: str | None = None, order: list[Column] | None = None,
@@ -91,8 +92,10 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], updates: Mappin
 
     The target is the left side of a left join: a source small enough to broadcast leaves
     the target unshuffled, a large one is a sort-merge join that AQE can split. Known keys
-    are found by semi-joining the target's key column alone.
+    are found by semi-joining the target's key column alone. The source is stored once,
+    as it is read for the check, the updates and the inserts.
     """
+    source = materialize(source)
     require_unique(source, keys)
     cols = target.columns
     changes = source.select(

@@ -19,8 +19,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
 
 
 def without_related(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Distinct rows of ``left`` with no partner in ``right``."""
-    return left.join(right.select(*on), on, "left_anti").distinct()
+    """Distinct rows of ``left`` with no partner in ``right``; the many rows of ``right`` are reduced to their keys first."""
+    return left.join(right.select(*on).distinct(), on, "left_anti").distinct()
 
 
 def without_related_full(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -3,8 +3,8 @@
 The rows are range-partitioned and sorted by the order columns, each row's slot
 (partition, place) is written to a Parquet table, and only the row counts per partition
 meet in one place. A row's position is then its place plus the rows of the partitions
-before it. Positions give running counts, tiles, neighbours and dense ranks by plain
-equi-joins.
+before it. Positions give running counts, tiles and dense ranks by arithmetic and equi-joins,
+and neighbours by a window inside each range partition.
 
 The written table is what makes this safe: a lost executor re-reads files, it does not
 re-sample the ranges and get different slots.
@@ -12,41 +12,104 @@ re-sample the ranges and get different slots.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from salesops.operators.windows import _same
+from salesops.operators.skew import join_per_key
 from salesops.sources.storage import materialize
 
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
-def with_position(df: DataFrame, order: list[Column], name: str = "position", total: str | None = None) -> DataFrame:
-    """Add the 1-based position of each row in the total order ``order`` (and the row count).
+class Neighbour(NamedTuple):
+    """A value taken ``offset`` rows further (negative: back), ``default`` where there is no such row."""
 
-    ``order`` must identify rows uniquely; its unique tail also lets the range
-    partitioner split a value that many rows share.
-    """
+    col: str
+    offset: int
+    name: str
+    default: object = None
+
+
+def _slots(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` stored with ``_bucket`` (its range partition) and ``_place`` (1-based within it)."""
     slotted = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    frozen = materialize(slotted).withColumn("_bucket", F.shiftright("_slot", _SLOT_BITS))
-    counts = frozen.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    # One row per range partition: bounded by spark.sql.shuffle.partitions, not by the data.
+    bucket = F.shiftright("_slot", _SLOT_BITS)
+    place = F.col("_slot") - F.shiftleft(bucket, _SLOT_BITS) + 1
+    return materialize(slotted).withColumns({"_bucket": bucket, "_place": place}).drop("_slot")
+
+
+def _before_bucket(slots: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Per bucket, each sum over the buckets before it, and over all as ``name_all``.
+
+    One row per range partition: bounded by spark.sql.shuffle.partitions, not by the data.
+    """
+    parts = slots.groupBy("_bucket").agg(*[e.alias(n) for n, e in sums.items()])
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
+    whole = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return parts.select(
         "_bucket",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(W.partitionBy(F.lit(0))).alias("_total"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums],
+        *[F.sum(n).over(whole).alias(f"{n}_all") for n in sums],
     )
-    place = F.col("_slot") - F.shiftleft(F.col("_bucket"), _SLOT_BITS) + 1
-    placed = frozen.join(F.broadcast(offsets), "_bucket").withColumn(name, F.col("_before") + place)
+
+
+def with_position(df: DataFrame, order: list[Column], name: str = "position", total: str | None = None,
+                  neighbours: list[Neighbour] | None = None) -> DataFrame:
+    """Add the 1-based position of each row in the total order ``order``, and optionally the number of
+    rows and values of neighbouring rows (lead and lag).
+
+    ``order`` must identify rows uniquely; its unique tail also lets the range
+    partitioner split a value that many rows share.
+    """
+    slots = _slots(df, order)
+    offsets = F.broadcast(_before_bucket(slots, {"_rows": F.count(F.lit(1))}))
+    placed = slots.join(offsets, "_bucket").withColumn(name, F.col("_rows") + F.col("_place"))
+    if neighbours:
+        placed = _with_neighbours(placed, name, neighbours)
     if total:
-        placed = placed.withColumn(total, F.col("_total"))
-    return placed.drop("_slot", "_bucket", "_before", "_total")
+        placed = placed.withColumn(total, F.col("_rows_all"))
+    return placed.drop("_bucket", "_place", "_rows", "_rows_all")
+
+
+def _with_neighbours(placed: DataFrame, position: str, neighbours: list[Neighbour]) -> DataFrame:
+    """Neighbours inside a bucket come from one window; those across a border from the border rows.
+
+    The border rows are the first and last few of each bucket (``reach`` on either side), so they are bounded by
+    the number of range partitions; looked up by position, they also serve buckets shorter than the reach.
+    """
+    reach = max(abs(n.offset) for n in neighbours)
+    inside = W.partitionBy("_bucket").orderBy("_place")
+    per_bucket = F.broadcast(placed.groupBy("_bucket").agg(F.max("_place").alias("_last")))
+    columns = sorted({n.col for n in neighbours})
+    border = (
+        placed.join(per_bucket, "_bucket")
+        .filter((F.col("_place") <= reach) | (F.col("_place") > F.col("_last") - reach))
+        .select(F.col(position).alias("_at"), F.struct(*columns).alias("_row"))
+    )
+    own = placed.columns
+    near = placed.withColumns({
+        f"_in_{n.name}": F.lead(F.struct(n.col), n.offset).over(inside) if n.offset > 0
+        else F.lag(F.struct(n.col), -n.offset).over(inside)
+        for n in neighbours
+    })
+    values = []
+    for n in neighbours:
+        across = border.select(F.col("_at").alias(f"_at_{n.name}"), F.col("_row")[n.col].alias(f"_across_{n.name}"))
+        near = near.join(F.broadcast(across), (F.col(position) + n.offset) == F.col(f"_at_{n.name}"), "left")
+        values.append(
+            F.when(F.col(f"_in_{n.name}").isNotNull(), F.col(f"_in_{n.name}")[n.col])
+            .when(F.col(f"_at_{n.name}").isNotNull(), F.col(f"_across_{n.name}"))
+            .otherwise(F.lit(n.default))
+            .alias(n.name)
+        )
+    return near.select(*own, *values)
 
 
 def tile(position: Column, total: Column, tiles: int) -> Column:
@@ -59,52 +122,37 @@ def tile(position: Column, total: Column, tiles: int) -> Column:
     return F.when(position <= cut, in_long).otherwise(in_short).cast("int")
 
 
-def with_neighbour(placed: DataFrame, position: str, col: str, offset: int, name: str, default: object = None) -> DataFrame:
-    """Value of ``col`` ``offset`` rows further (negative: back); ``default`` where there is no such row."""
-    other = placed.select((F.col(position) - offset).alias(position), F.col(col).alias("_value"), F.lit(True).alias("_found"))
-    joined = placed.join(other, position, "left")
-    value = F.when(F.col("_found"), F.col("_value")).otherwise(F.lit(default))
-    return joined.withColumn(name, value).drop("_value", "_found")
-
-
-def with_dense_rank(df: DataFrame, keys: list[str], order_col: str, name: str) -> DataFrame:
-    """dense_rank() OVER (PARTITION BY keys ORDER BY order_col) with any group size.
+def dense_ranks(df: DataFrame, keys: list[str], order_col: str, name: str) -> DataFrame:
+    """The different (keys, order_col) values with their dense_rank() OVER (PARTITION BY keys ORDER BY order_col).
 
-    The different (key, value) pairs are positioned as one ordered list; a rank is
-    the distance from the key's first pair.
+    The different pairs are positioned as one ordered list; a rank is the distance from the key's first pair.
     """
-    pairs = df.select(*[F.col(c).alias(f"_rank_{c}") for c in [*keys, order_col]]).distinct()
-    own = [f"_rank_{k}" for k in keys]
+    pairs = df.select(*keys, order_col).distinct()
     placed = with_position(pairs, [F.col(c).asc() for c in pairs.columns], "_at")
-    first = placed.groupBy(*[F.col(k).alias(f"_first{k}") for k in own]).agg(F.min("_at").alias("_start"))
-    ranks = placed.join(first, _same(placed, first, [(k, f"_first{k}") for k in own]))
-    ranks = ranks.select(*pairs.columns, (F.col("_at") - F.col("_start") + 1).cast("int").alias(name))
-    match = _same(df, ranks, [(c, f"_rank_{c}") for c in [*keys, order_col]])
-    return df.join(ranks, match, "left").drop(*pairs.columns)
+    first = placed.groupBy(*[F.col(k).alias(f"_first_{k}") for k in keys]).agg(F.min("_at").alias("_start"))
+    ranks = join_per_key(placed, first, [(k, f"_first_{k}") for k in keys], "inner")
+    return ranks.select(*pairs.columns, (F.col("_at") - F.col("_start") + 1).cast("int").alias(name))
 
 
-def running_sum(df: DataFrame, order_col: str, value: Column, name: str) -> DataFrame:
-    """sum(value) OVER (ORDER BY order_col), default RANGE frame, over a column with any number of values.
+def with_dense_rank(df: DataFrame, keys: list[str], order_col: str, name: str) -> DataFrame:
+    """Each row with its dense_rank() OVER (PARTITION BY keys ORDER BY order_col), for groups of any size."""
+    cols = [*keys, order_col]
+    ranks = dense_ranks(df, keys, order_col, name).select(*[F.col(c).alias(f"_rank_{c}") for c in cols], name)
+    return join_per_key(df, ranks, [(c, f"_rank_{c}") for c in cols], "left").drop(*[f"_rank_{c}" for c in cols])
+
+
+def running_sum(df: DataFrame, order_col: str, values: dict[str, Column]) -> DataFrame:
+    """sum(value) OVER (ORDER BY order_col), default RANGE frame, for each named value.
 
     Values are summed per order value first (rows equal in ``order_col`` share their
     running sum). Within a range partition the sum runs over that partition only;
     the totals of the partitions before are added from a table with one row per partition.
     """
-    sums = df.groupBy(order_col).agg(F.sum(value).alias("_sum"))
-    slotted = (
-        sums.repartitionByRange(order_col)
-        .sortWithinPartitions(order_col)
-        .withColumn("_slot", F.monotonically_increasing_id())
-    )
-    frozen = materialize(slotted).withColumn("_bucket", F.shiftright("_slot", _SLOT_BITS))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = frozen.groupBy("_bucket").agg(F.sum("_sum").alias("_part")).select(
-        "_bucket", F.coalesce(F.sum("_part").over(before), F.lit(0)).alias("_before")
-    )
-    inside = F.sum("_sum").over(W.partitionBy("_bucket").orderBy("_slot"))
-    run = (
-        frozen.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), "_bucket")
-        .select(F.col(order_col).alias("_at"), (F.col("_before") + F.col("_inside")).alias(name))
+    parts = {f"_sum_{n}": F.sum(n) for n in values}
+    sums = df.groupBy(order_col).agg(*[F.sum(e).alias(n) for n, e in values.items()])
+    slots = _slots(sums, [F.col(order_col)])
+    inside = W.partitionBy("_bucket").orderBy("_place")
+    run = slots.join(F.broadcast(_before_bucket(slots, parts)), "_bucket").select(
+        F.col(order_col).alias("_at"), *[(F.col(f"_sum_{n}") + F.sum(n).over(inside)).alias(n) for n in values]
     )
-    return df.join(run, df[order_col].eqNullSafe(run["_at"]), "left").drop("_at")
+    return join_per_key(df, run, [(order_col, "_at")], "left").drop("_at")

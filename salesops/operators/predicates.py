@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.functions.dates import month_bounds
+from salesops.operators.skew import join_per_key
 
 
 def like_any(col: Column | str, patterns: list[str], ignore_case: bool = False) -> Column:
@@ -38,8 +39,12 @@ def in_month(df: DataFrame, col: str, year: int, month: int) -> DataFrame:
 
 
 def keep_in(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key occurs in ``ids`` (IN subquery)."""
-    return df.join(ids.select(*on), on, "left_semi")
+    """Rows whose key occurs in ``ids`` (IN subquery).
+
+    Repeated ids are collapsed on the map side; a frequent key of ``df`` can be split by AQE.
+    """
+    keys = ids.select(*[F.col(c).alias(f"_in_{c}") for c in on]).distinct()
+    return join_per_key(df, keys.dropna(), [(c, f"_in_{c}") for c in on], "left_semi")
 
 
 def not_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -50,7 +55,7 @@ def not_in(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     with a NULL keeps none, and otherwise a NULL key is not kept.
     """
     ids = ids.select(key)
-    total = ids.agg(F.count(F.lit(1))).scalar()
-    known = ids.agg(F.count(key)).scalar()
-    left_over = df.join(ids, key, "left_anti")
-    return left_over.filter((total == 0) | ((total == known) & F.col(key).isNotNull()))
+    counts = ids.agg(F.struct(F.count(F.lit(1)).alias("total"), F.count(key).alias("known"))).scalar()
+    left_over = df.join(ids.distinct(), key, "left_anti").withColumn("_ids", counts)
+    kept = (F.col("_ids.total") == 0) | ((F.col("_ids.total") == F.col("_ids.known")) & F.col(key).isNotNull())
+    return left_over.filter(kept).drop("_ids")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesops.operators.aggregates import collapse_duplicates
 from salesops.operators.predicates import in_month
+from salesops.operators.skew import join_per_key
 
 UNKNOWN_ID = -1
 AMOUNT = "decimal(28,12)"
@@ -26,7 +27,7 @@ def active(dim: DataFrame, at: Column) -> DataFrame:
 
 def _ids_by_name(dim: DataFrame, name_col: str, id_col: str) -> DataFrame:
     """One id per name (the oldest), so that resolving never multiplies postings."""
-    return dim.groupBy(name_col).agg(F.min(id_col).alias(id_col))
+    return dim.groupBy(F.col(name_col).alias("_name")).agg(F.min(id_col).alias(id_col))
 
 
 def resolve_ids(buffer: DataFrame, clients: DataFrame, agreements: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -37,7 +38,7 @@ def resolve_ids(buffer: DataFrame, clients: DataFrame, agreements: DataFrame, ac
         (_ids_by_name(accounts, "account_name", "id_account"), "account_name", "id_account"),
     ]
     for dim, name, _ in ids:
-        buffer = buffer.join(dim, name, "left")
+        buffer = join_per_key(buffer, dim.filter(F.col("_name").isNotNull()), [(name, "_name")], "left").drop("_name")
     return buffer.withColumns({i: F.coalesce(F.col(i), F.lit(UNKNOWN_ID)) for _, _, i in ids})
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.operators.ordered import with_position
-from salesops.operators.windows import _same
+from salesops.operators.skew import same_keys
 
 SHALLOW_ROWS = 100_000  # rows up to which a page is cut from per-task heaps
 
@@ -31,7 +31,7 @@ def top_with_ties(df: DataFrame, order: dict[str, bool], n: int) -> DataFrame:
     sort = [F.col(c).desc() if down else F.col(c).asc() for c, down in order.items()]
     best = df.select(*order).orderBy(*sort).limit(n).distinct()
     best = best.select(*[F.col(c).alias(f"_best_{c}") for c in order])
-    return df.join(best, _same(df, best, [(c, f"_best_{c}") for c in order]), "left_semi")
+    return df.join(best, same_keys(df, best, [(c, f"_best_{c}") for c in order]), "left_semi")
 
 
 def page(df: DataFrame, order: list[Column], start: int, width: int, num: int = 1) -> DataFrame:

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-
-def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
+from salesops.operators.skew import join_per_key
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, name: str = "place") -> DataFrame:
@@ -25,12 +21,12 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
 def latest_rows(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """All rows that carry the greatest ``order_col`` of their key (dense_rank = 1), ties kept.
 
-    The maximum per key is a map-side aggregate and the ties are found by a
-    join, so neither a hot key nor a hot tie ends up in one task.
+    The maximum per key is a map-side aggregate and the ties are found by a join that
+    AQE can split, so neither a hot key nor a hot tie ends up in one task.
     """
     best = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.max(order_col).alias("_best"))
     pairs = [(k, f"_key_{k}") for k in keys] + [(order_col, "_best")]
-    return df.join(best, _same(df, best, pairs), "left_semi")
+    return join_per_key(df, best, pairs, "left_semi")
 
 
 def within_top_values(df: DataFrame, keys: list[str], col: str, n: int) -> DataFrame:
@@ -39,13 +35,13 @@ def within_top_values(df: DataFrame, keys: list[str], col: str, n: int) -> DataF
     own = [f"_key_{k}" for k in keys]
     top = top_n_per_group(values, own, [F.col("_value").desc_nulls_last()], n, "_place").drop("_place")
     pairs = [(k, f"_key_{k}") for k in keys] + [(col, "_value")]
-    return df.join(top, _same(df, top, pairs), "left_semi")
+    return join_per_key(df, top, pairs, "left_semi")
 
 
 def with_group_total(df: DataFrame, keys: list[str], totals: list[Column]) -> DataFrame:
     """Each row with aggregates of its whole key (an aggregate OVER (PARTITION BY keys))."""
     sums = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(*totals)
-    joined = df.join(sums, _same(df, sums, [(k, f"_key_{k}") for k in keys]), "left")
+    joined = join_per_key(df, sums, [(k, f"_key_{k}") for k in keys], "left")
     return joined.drop(*[f"_key_{k}" for k in keys])
 
 

@@ -29,7 +29,7 @@ def staged_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         concat_text(F.col("priority"), F.lit("/"), F.col("segment")).alias("agreement_name"),
         F.col("customer_name").alias("client_name"),
         F.col("status").alias("carry_ground"),
-        F.lit("62").alias("bal2"),
+        F.when(F.col("segment") == "BUILDING", "60").otherwise("62").alias("bal2"),
         concat_text(F.lit("nation="), F.col("nation_id")).alias("extra_data"),
     )
     return rows.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
@@ -60,7 +60,7 @@ def known_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("customer_id") + 1).alias("id_client"),
         F.when(F.col("segment") != "BUILDING", concat_text(F.col("segment"), F.lit(" of nation "), F.col("nation_id"))).alias(
             "account_description"),
-        F.lit(3).alias("id_bal2"),
+        F.when(F.col("segment") == "BUILDING", 2).otherwise(3).alias("id_bal2"),
         F.lit(finance.FAR_FUTURE).alias("valid_to"),
     )
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from salesops.functions.dates import month_end, month_start
 from salesops.operators.aggregates import range_profile, weighted_mean, with_empty_months
 from salesops.operators.joins import lookup
+from salesops.operators.predicates import keep_in
 from salesops.operators.windows import month_totals_window, running_total, running_total_lookup
 from salesops.sources import sales
+from salesops.sources.storage import materialize
 
 
 def _sums_with_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +92,7 @@ def slow_items_by_month(spark: SparkSession, sf_dir: str, below: int = 200) -> D
 def months_zero_filled(spark: SparkSession, sf_dir: str, item_name: str = "red ring", brand: str = "Brand#7") -> DataFrame:
     """Monthly sales of one kind of item over the whole calendar of orders; a month without sales shows 0."""
     kind = sales.items(spark, sf_dir).filter((F.col("item_name") == item_name) & (F.col("brand") == brand))
-    sold = sales.lines(spark, sf_dir).select("order_id", "item_id", "amount_cents").join(
-        kind.select("item_id"), "item_id", "left_semi")
+    sold = keep_in(sales.lines(spark, sf_dir).select("order_id", "item_id", "amount_cents"), kind, ["item_id"])
     heads = sales.orders(spark, sf_dir).select("order_id", "order_date")
     report = lookup(sold, heads, ["order_id"]).groupBy(month_start("order_date").alias("month")).agg(
         F.sum("amount_cents").alias("sum_cents"))
@@ -105,7 +106,7 @@ def months_zero_filled(spark: SparkSession, sf_dir: str, item_name: str = "red r
 def slow_items_zero_filled(spark: SparkSession, sf_dir: str, below: int = 10) -> DataFrame:
     """Items and months with fewer pieces than ``below``, months without any sale between
     the item's first and last one included with 0."""
-    sold = _item_month_sums(spark, sf_dir)
+    sold = materialize(_item_month_sums(spark, sf_dir))
     calendar = sold.groupBy("item_id").agg(F.min("month").alias("first_date"), F.max("month").alias("last_date"))
     filled = with_empty_months(sold.select("item_id", "month", "sum_cents", "quantity"), calendar,
                                ["sum_cents", "quantity"], ["item_id"])
@@ -116,10 +117,10 @@ def slow_items_zero_filled(spark: SparkSession, sf_dir: str, below: int = 10) ->
 
 
 def _since(spark: SparkSession, sf_dir: str, start: dt.date) -> DataFrame:
-    """Orders with lines since a day: id, customer, date, month end, sum."""
+    """Orders with lines since a day: id, customer, date, month end, sum. Stored, as the report reads it twice."""
     heads = sales.orders(spark, sf_dir).filter(F.col("order_ts") >= F.lit(start)).select("order_id", "customer_id", "order_date")
     sums = sales.order_sums(spark, sf_dir).select("order_id", "sum_cents")
-    return heads.join(sums, "order_id").withColumn("month", month_end("order_date"))
+    return materialize(heads.join(sums, "order_id").withColumn("month", month_end("order_date")))
 
 
 def _running_report(spark: SparkSession, sf_dir: str, orders: DataFrame, months: DataFrame) -> DataFrame:
@@ -157,7 +158,7 @@ def months_with_sales(spark: SparkSession, sf_dir: str, year: int = 1999) -> Dat
     heads = sales.orders(spark, sf_dir).filter(
         F.col("order_ts").between(F.lit(dt.datetime(year, 1, 1)), F.lit(dt.datetime(year, 12, 31, 23, 59, 59, 999999)))
     ).select("order_id", "order_date")
-    with_lines = heads.join(sales.lines(spark, sf_dir).select("order_id"), "order_id", "left_semi")
+    with_lines = keep_in(heads, sales.lines(spark, sf_dir), ["order_id"])
     return with_lines.select(F.month("order_date").alias("month_number")).distinct()
 
 

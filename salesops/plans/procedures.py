@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesops.operators.joins import apply_rows
+from salesops.operators.predicates import keep_in
+from salesops.operators.skew import narrow_to
 from salesops.operators.toplimit import arg_max
 from salesops.sources import sales
 
@@ -38,17 +40,17 @@ def customer_id_with_max_invoice(spark: SparkSession, sf_dir: str) -> int | None
 def invoices_of_customer(spark: SparkSession, sf_dir: str, customer_id: int = -1) -> DataFrame:
     """Invoices and sums of one customer, latest first; an id of 0 or less means the customer with the largest invoice.
 
-    The customer's invoices are picked first, so only their lines are summed.
+    The customer's invoices are picked first; if they are few, only their lines are summed.
     """
     heads = sales.orders(spark, sf_dir).select("customer_id", "order_id", "order_date")
     if customer_id > 0:
         own = heads.filter(F.col("customer_id") == customer_id)
     else:
-        own = heads.join(customer_with_max_invoice(spark, sf_dir).select("customer_id"), "customer_id", "left_semi")
-    found = sales.lines(spark, sf_dir).select("order_id", "amount_cents").join(own, "order_id")
+        own = keep_in(heads, customer_with_max_invoice(spark, sf_dir), ["customer_id"])
+    found = narrow_to(sales.lines(spark, sf_dir).select("order_id", "amount_cents"), own, ["order_id"])
+    sums = found.groupBy("order_id").agg(F.sum("amount_cents").alias("sum_cents"))
     return (
-        found.groupBy("customer_id", "order_id", "order_date")
-        .agg(F.sum("amount_cents").alias("sum_cents"))
+        own.join(sums, "order_id")
         .select("customer_id", "order_id", "order_date", sales.money("sum_cents").alias("invoice_sum"))
         .orderBy(F.col("order_date").desc(), "order_id")
     )
@@ -85,10 +87,10 @@ def register_functions(spark: SparkSession, sf_dir: str) -> None:
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION sales_invoices_of(wanted BIGINT)
         RETURNS TABLE (customer_id BIGINT, order_id BIGINT, order_date DATE, invoice_sum DOUBLE)
-        RETURN SELECT o.customer_id, o.order_id, o.order_date, sum(l.amount_cents) / 100
-               FROM sales_lines l JOIN sales_orders o ON o.order_id = l.order_id
+        RETURN SELECT o.customer_id, o.order_id, o.order_date, s.sum_cents / 100
+               FROM (SELECT order_id, sum(amount_cents) AS sum_cents FROM sales_lines GROUP BY order_id) s
+               JOIN sales_orders o ON o.order_id = s.order_id
                WHERE o.customer_id = sales_invoices_of.wanted
-               GROUP BY o.customer_id, o.order_id, o.order_date
     """)
 
 

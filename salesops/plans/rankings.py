@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from salesops.functions.texts import first_letter
 from salesops.operators.joins import apply_rows, lookup, top_n_per_outer
-from salesops.operators.ordered import running_sum, tile, with_dense_rank, with_neighbour, with_position
+from salesops.operators.ordered import Neighbour, dense_ranks, running_sum, tile, with_dense_rank, with_position
 from salesops.operators.predicates import in_period
+from salesops.operators.skew import join_per_key
 from salesops.operators.windows import latest_rows, top_n_per_group, with_group_total, within_top_values
 from salesops.sources import sales
 from salesops.sources.storage import materialize
@@ -31,17 +32,23 @@ def item_functions(spark: SparkSession, sf_dir: str, tiles: int = 30) -> DataFra
     """Per item: rank of its name within its first letter, running and total number of items, number
     per first letter, next and previous item by name (id, name, two back), weight group."""
     items = sales.items(spark, sf_dir).withColumn("letter", first_letter("item_name"))
-    by_name = with_position(items.select("item_id", "item_name"), [F.col("item_name"), F.col("item_id")], "_name_at")
-    by_name = with_neighbour(by_name, "_name_at", "item_id", 1, "next_item_id")
-    by_name = with_neighbour(by_name, "_name_at", "item_id", -1, "previous_item_id")
-    by_name = with_neighbour(by_name, "_name_at", "item_name", 1, "next_item_name", "No items")
-    by_name = with_neighbour(by_name, "_name_at", "item_name", -2, "item_name_two_back", "No items")
+    by_name = with_position(
+        items.select("item_id", "item_name"), [F.col("item_name"), F.col("item_id")], "_name_at",
+        neighbours=[
+            Neighbour("item_id", 1, "next_item_id"),
+            Neighbour("item_id", -1, "previous_item_id"),
+            Neighbour("item_name", 1, "next_item_name", "No items"),
+            Neighbour("item_name", -2, "item_name_two_back", "No items"),
+        ],
+    ).drop("item_name", "_name_at")
     by_id = with_position(items.select("item_id"), [F.col("item_id")], "running_count", "total_count")
     by_weight = with_position(items.select("item_id", "weight"), [F.col("weight"), F.col("item_id")], "_weight_at", "_all")
     by_weight = by_weight.select("item_id", tile(F.col("_weight_at"), F.col("_all"), tiles).alias("weight_group"))
-    ranked = with_dense_rank(items, ["letter"], "item_name", "name_rank")
-    counted = with_group_total(ranked, ["letter"], [F.count(F.lit(1)).alias("letter_count")])
-    joined = counted.join(by_name.drop("item_name", "_name_at"), "item_id").join(by_id, "item_id").join(by_weight, "item_id")
+    counted = with_group_total(items, ["letter"], [F.count(F.lit(1)).alias("letter_count")])
+    ranks = dense_ranks(items, ["letter"], "item_name", "name_rank")
+    ranks = ranks.select(F.col("item_name").alias("_ranked_name"), "name_rank")
+    ranked = join_per_key(counted, ranks, [("item_name", "_ranked_name")], "left")
+    joined = ranked.join(by_name, "item_id").join(by_id, "item_id").join(by_weight, "item_id")
     return joined.select(
         "item_id", "item_name", "brand", "price", "name_rank", "running_count", "total_count", "letter_count",
         "next_item_id", "previous_item_id", "next_item_name", "item_name_two_back", "weight_group",
@@ -51,16 +58,18 @@ def item_functions(spark: SparkSession, sf_dir: str, tiles: int = 30) -> DataFra
 def last_customer_by_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers of each seller's last day of sales with the order's sum, one row per line."""
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
-    sold = sales.lines(spark, sf_dir).select("order_id", "supplier_id").join(heads, "order_id")
+    sold = sales.lines(spark, sf_dir).select("order_id", "supplier_id", "line_no", "item_id").join(heads, "order_id")
     last = latest_rows(sold, ["supplier_id"], "order_date")
-    sums = sales.order_sums(spark, sf_dir).select("order_id", "sum_cents")
+    sums = sales.order_sums(spark, sf_dir).select(F.col("order_id").alias("_sum_order"), "sum_cents")
     people = sales.suppliers(spark, sf_dir).select("supplier_id", "supplier_name")
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
-    named = lookup(lookup(lookup(last, sums, ["order_id"]), people, ["supplier_id"]), names, ["customer_id"])
-    return named.select(
+    summed = join_per_key(last, sums, [("order_id", "_sum_order")], "left")
+    named = lookup(lookup(summed, people, ["supplier_id"]), names, ["customer_id"])
+    # The line's own key ends the sort, so that a range can be cut inside a seller with very many lines.
+    return named.orderBy("supplier_name", "supplier_id", "order_id", "line_no", "item_id").select(
         F.col("supplier_id").alias("seller_id"), F.col("supplier_name").alias("seller_name"), "customer_id",
         "customer_name", "order_date", sales.money("sum_cents").alias("order_sum"),
-    ).orderBy("seller_name", "order_date", "customer_id")
+    )
 
 
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,17 +137,15 @@ def line_tiles(spark: SparkSession, sf_dir: str, tiles: int = 30) -> DataFrame:
 def order_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders by date with the id of the next order and the date two orders back."""
     rows = sales.orders(spark, sf_dir).select("order_id", "order_date")
-    placed = with_position(rows, [F.col("order_date"), F.col("order_id")], "order_number")
-    placed = with_neighbour(placed, "order_number", "order_id", 1, "next_order_id")
-    return with_neighbour(placed, "order_number", "order_date", -2, "date_two_back")
+    neighbours = [Neighbour("order_id", 1, "next_order_id"), Neighbour("order_date", -2, "date_two_back")]
+    return with_position(rows, [F.col("order_date"), F.col("order_id")], "order_number", neighbours=neighbours)
 
 
 def running_order_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order with the number and sum of orders up to and including its day (default RANGE frame)."""
     rows = sales.orders(spark, sf_dir).select("order_id", "order_date", "total_cents")
-    counted = running_sum(rows, "order_date", F.lit(1), "running_count")
-    summed = running_sum(counted, "order_date", F.col("total_cents"), "running_cents")
-    return summed.select("order_id", "order_date", "running_count", sales.money("running_cents").alias("running_total"))
+    run = running_sum(rows, "order_date", {"running_count": F.lit(1), "running_cents": F.col("total_cents")})
+    return run.select("order_id", "order_date", "running_count", sales.money("running_cents").alias("running_total"))
 
 
 def customer_name_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:

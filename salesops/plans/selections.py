@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from salesops.functions import dates
 from salesops.operators.joins import lookup, without_related, without_related_full
 from salesops.operators.predicates import in_month, in_period, in_trimmed, keep_in, like_any, not_in
+from salesops.operators.skew import narrow_to
 from salesops.operators.toplimit import page, top_n, top_n_distinct, top_with_ties
 from salesops.sources import sales
 
+LINE_KEY = ["line_no", "item_id", "supplier_id"]  # with the order id, the key of a line
+
 
 def items_by_name_pattern(spark: SparkSession, sf_dir: str, patterns: tuple[str, ...] = ("%ring%", "red%"),
                           ignore_case: bool = False) -> DataFrame:
@@ -41,7 +44,7 @@ def entities_without_children_not_in(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def _price_or_quantity(spark: SparkSession, sf_dir: str, price: float, quantity: int, language: str) -> DataFrame:
-    lines = sales.lines(spark, sf_dir).select("order_id", "unit_cents", "quantity")
+    lines = sales.lines(spark, sf_dir).select("order_id", "line_no", "item_id", "supplier_id", "unit_cents", "quantity")
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date", "picked")
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
     dear = F.col("unit_cents") > int(price * 100)
@@ -55,11 +58,13 @@ def _price_or_quantity(spark: SparkSession, sf_dir: str, price: float, quantity:
         F.quarter("order_date").alias("quarter"),
         dates.third_of_year("order_date").alias("third"),
         "customer_name",
+        *LINE_KEY,
     )
 
 
 def _calendar_order(by_text: bool) -> list[Column]:
-    return [F.col("quarter"), F.col("third"), F.col("order_date_text" if by_text else "order_date"), F.col("order_id")]
+    day = "order_date_text" if by_text else "order_date"
+    return [F.col(c) for c in ["quarter", "third", day, "order_id", *LINE_KEY]]
 
 
 def orders_price_or_quantity(spark: SparkSession, sf_dir: str, price: float = 60000, quantity: int = 20,
@@ -67,31 +72,32 @@ def orders_price_or_quantity(spark: SparkSession, sf_dir: str, price: float = 60
     """Order lines dearer than ``price``, or of more than ``quantity`` pieces in a picked order.
 
     One row per line. Sorted by quarter, third and date; ``by_text`` sorts by the date as
-    text (dd.MM.yyyy), which is not the order of time. The order id ends the sort key,
-    so that a range partition can split a day with very many lines.
+    text (dd.MM.yyyy), which is not the order of time. The line's own key ends the sort,
+    so that a range can be cut inside a day or an order with very many lines.
     """
-    return _price_or_quantity(spark, sf_dir, price, quantity, language).orderBy(*_calendar_order(by_text)).drop("order_date")
+    rows = _price_or_quantity(spark, sf_dir, price, quantity, language)
+    return rows.orderBy(*_calendar_order(by_text)).drop("order_date", *LINE_KEY)
 
 
 def orders_price_or_quantity_page(spark: SparkSession, sf_dir: str, start: int = 1000, width: int = 100, num: int = 1,
                                   price: float = 60000, quantity: int = 20, language: str = "ru") -> DataFrame:
     """One page of it: skip ``start`` rows and the pages before ``num``."""
     rows = _price_or_quantity(spark, sf_dir, price, quantity, language)
-    return page(rows, _calendar_order(False), start, width, num).drop("order_date")
+    return page(rows, _calendar_order(False), start, width, num).drop("order_date", *LINE_KEY)
 
 
 def expected_deliveries(spark: SparkSession, sf_dir: str, year: int = 1997, month: int = 1,
                         methods: tuple[str, ...] = ("1-URGENT", "2-HIGH")) -> DataFrame:
     """Deliveries due in a month, of finished orders sent by one of the methods."""
-    due = in_month(sales.lines(spark, sf_dir), "ship_ts", year, month).select("order_id", "supplier_id", "ship_date")
+    due = in_month(sales.lines(spark, sf_dir), "ship_ts", year, month).select("order_id", *LINE_KEY, "ship_date")
     heads = sales.orders(spark, sf_dir).filter(in_trimmed("priority", list(methods)) & F.col("picked"))
     heads = heads.select("order_id", "customer_id", "priority")
     names = sales.suppliers(spark, sf_dir).select("supplier_id", "supplier_name")
     contacts = sales.customers(spark, sf_dir).select("customer_id", F.col("customer_name").alias("contact_name"))
     joined = lookup(lookup(due.join(heads, "order_id"), names, ["supplier_id"]), contacts, ["customer_id"])
-    return joined.select(
+    return joined.orderBy("supplier_name", "priority", "ship_date", "order_id", *LINE_KEY).select(
         "supplier_name", F.col("priority").alias("delivery_method"), F.col("ship_date").alias("delivery_date"), "contact_name"
-    ).orderBy("supplier_name", "delivery_method", "delivery_date", "contact_name")
+    )
 
 
 def last_sales_with_ties(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
@@ -102,7 +108,7 @@ def last_sales_with_ties(spark: SparkSession, sf_dir: str, n: int = 10) -> DataF
     """
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
     last = top_with_ties(heads, {"order_date": True}, n)
-    sold = sales.lines(spark, sf_dir).select("order_id", "supplier_id").join(last.select("order_id"), "order_id", "left_semi")
+    sold = narrow_to(sales.lines(spark, sf_dir).select("order_id", "supplier_id"), last, ["order_id"])
     sellers = sold.groupBy("order_id").agg(F.min("supplier_id").alias("supplier_id"))
     named = lookup(lookup(last, sales.customers(spark, sf_dir).select("customer_id", "customer_name"), ["customer_id"]),
                    sellers, ["order_id"])
@@ -115,11 +121,11 @@ def last_sales_with_ties(spark: SparkSession, sf_dir: str, n: int = 10) -> DataF
 def buyers_of_item(spark: SparkSession, sf_dir: str, item_name: str = "red ring") -> DataFrame:
     """Customers who bought items of a name, one row per purchase line."""
     wanted = sales.items(spark, sf_dir).filter(F.col("item_name") == item_name).select("item_id")
-    bought = keep_in(sales.lines(spark, sf_dir).select("order_id", "item_id"), wanted, ["item_id"])
+    bought = keep_in(sales.lines(spark, sf_dir).select("order_id", *LINE_KEY), wanted, ["item_id"])
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id")
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name", "segment")
     joined = lookup(heads.join(bought, "order_id"), names, ["customer_id"])
-    return joined.select("customer_id", "customer_name", "segment").orderBy("customer_name", "customer_id")
+    return joined.orderBy("customer_name", "customer_id", "order_id", *LINE_KEY).select("customer_id", "customer_name", "segment")
 
 
 def sellers_without_sale_on_day(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(1998, 7, 4)) -> DataFrame:

@@ -19,7 +19,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/salesops/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/salesops/{context.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Delete the work folder of this application, once none of its results is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark, "end")).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:

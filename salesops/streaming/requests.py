@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesops.operators.dml import assign_ids
 from salesops.operators.ordered import running_sum, with_position
+from salesops.operators.skew import join_per_key
 from salesops.sources.xml import to_request_xml
 
 MESSAGE = "request_id bigint, body string"
@@ -70,9 +71,10 @@ def count_invoices(requests: DataFrame, invoices: DataFrame) -> DataFrame:
     begin_before = F.date_sub("begin_date", 1)
     asked = requests.select("customer_id").distinct()
     daily = (
-        invoices.join(asked, "customer_id", "left_semi")
-        .groupBy("customer_id", F.col("order_date").alias("day"))
-        .agg(F.count(F.lit(1)).alias("n"), F.lit(False).alias("asked"))
+        invoices.groupBy("customer_id", F.col("order_date").alias("day"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(asked, "customer_id", "left_semi")
+        .withColumn("asked", F.lit(False))
     )
     boundaries = requests.select("customer_id", F.explode(F.array(begin_before, "end_date")).alias("day")).distinct()
     line = (
@@ -82,13 +84,12 @@ def count_invoices(requests: DataFrame, invoices: DataFrame) -> DataFrame:
         .withColumn("upto", F.sum("n").over(W.partitionBy("customer_id").orderBy("day")))
         .filter("asked")
     )
-    until_end = line.select("customer_id", F.col("day").alias("end_date"), F.col("upto").alias("_end"))
-    until_begin = line.select("customer_id", F.col("day").alias("_before"), F.col("upto").alias("_begin"))
-    counted = (
-        requests.withColumn("_before", begin_before)
-        .join(until_end, ["customer_id", "end_date"], "left")
-        .join(until_begin, ["customer_id", "_before"], "left")
-    )
+    until_end = line.select(F.col("customer_id").alias("_end_customer"), F.col("day").alias("_end_day"), F.col("upto").alias("_end"))
+    until_begin = line.select(
+        F.col("customer_id").alias("_begin_customer"), F.col("day").alias("_begin_day"), F.col("upto").alias("_begin"))
+    counted = requests.withColumn("_before", begin_before)
+    counted = join_per_key(counted, until_end, [("customer_id", "_end_customer"), ("end_date", "_end_day")], "left")
+    counted = join_per_key(counted, until_begin, [("customer_id", "_begin_customer"), ("_before", "_begin_day")], "left")
     counter = F.when(F.col("begin_date") <= F.col("end_date"), F.col("_end") - F.col("_begin")).otherwise(F.lit(0))
     return counted.select("request_id", "customer_id", "begin_date", "end_date", counter.cast("bigint").alias("counter"))
 
@@ -103,7 +104,7 @@ def number_reports(counted: DataFrame, start: int, as_written: bool) -> DataFram
     if not as_written:
         return assign_ids(counted, "report_id", order, start).withColumn("written", F.lit(True))
     placed = with_position(counted, order, "_at").withColumn("written", F.col("counter") > 0)
-    given = running_sum(placed, "_at", F.col("written").cast("bigint"), "_given")
+    given = running_sum(placed, "_at", {"_given": F.col("written").cast("bigint")})
     return given.withColumn("report_id", F.lit(start) + F.col("_given")).drop("_at", "_given")
 
 
