@@ -88,10 +88,11 @@ def _with_neighbours(placed: DataFrame, position: str, neighbours: list[Neighbou
     inside = W.partitionBy("_bucket").orderBy("_place")
     per_bucket = F.broadcast(placed.groupBy("_bucket").agg(F.max("_place").alias("_last")))
     columns = sorted({n.col for n in neighbours})
-    border = (
+    border = materialize(
         placed.join(per_bucket, "_bucket")
         .filter((F.col("_place") <= reach) | (F.col("_place") > F.col("_last") - reach))
         .select(F.col(position).alias("_at"), F.struct(*columns).alias("_row"))
+        .coalesce(1)
     )
     own = placed.columns
     near = placed.withColumns({
