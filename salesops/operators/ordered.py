@@ -45,8 +45,8 @@ def _slots(df: DataFrame, order: list[Column]) -> DataFrame:
     return materialize(slotted).withColumns({"_bucket": bucket, "_place": place}).drop("_slot")
 
 
-def _before_bucket(slots: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """Per bucket, each sum over the buckets before it, and over all as ``name_all``.
+def _bucket_sums(slots: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Per bucket, each sum over the bucket (``name``), over the buckets before it (``name_before``) and over all (``name_all``).
 
     One row per range partition: bounded by spark.sql.shuffle.partitions, not by the data.
     """
@@ -55,7 +55,8 @@ def _before_bucket(slots: DataFrame, sums: dict[str, Column]) -> DataFrame:
     whole = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     return parts.select(
         "_bucket",
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums],
+        *sums,
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in sums],
         *[F.sum(n).over(whole).alias(f"{n}_all") for n in sums],
     )
 
@@ -69,48 +70,32 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position", to
     partitioner split a value that many rows share.
     """
     slots = _slots(df, order)
-    offsets = F.broadcast(_before_bucket(slots, {"_rows": F.count(F.lit(1))}))
-    placed = slots.join(offsets, "_bucket").withColumn(name, F.col("_rows") + F.col("_place"))
+    sizes = _bucket_sums(slots, {"_rows": F.count(F.lit(1))})
+    placed = slots.join(F.broadcast(sizes), "_bucket").withColumn(name, F.col("_rows_before") + F.col("_place"))
+    placed = placed.withColumnRenamed("_rows_all", total) if total else placed.drop("_rows_all")
+    placed = placed.drop("_place", "_rows", "_rows_before")
     if neighbours:
-        placed = _with_neighbours(placed, name, neighbours)
-    if total:
-        placed = placed.withColumn(total, F.col("_rows_all"))
-    return placed.drop("_bucket", "_place", "_rows", "_rows_all")
+        placed = _with_neighbours(placed, sizes, name, neighbours)
+    return placed.drop("_bucket")
 
 
-def _with_neighbours(placed: DataFrame, position: str, neighbours: list[Neighbour]) -> DataFrame:
-    """Neighbours inside a bucket come from one window; those across a border from the border rows.
+def _with_neighbours(placed: DataFrame, sizes: DataFrame, position: str, neighbours: list[Neighbour]) -> DataFrame:
+    """lead and lag as one window inside each bucket, after lending each bucket the few rows on either side of it.
 
-    The border rows are the first and last few of each bucket (``reach`` on either side), so they are bounded by
-    the number of range partitions; looked up by position, they also serve buckets shorter than the reach.
+    The lent rows are found by their positions and number at most twice the reach per bucket, so they are bounded
+    by the number of range partitions; a bucket shorter than the reach borrows across several.
     """
     reach = max(abs(n.offset) for n in neighbours)
-    inside = W.partitionBy("_bucket").orderBy("_place")
-    per_bucket = F.broadcast(placed.groupBy("_bucket").agg(F.max("_place").alias("_last")))
-    columns = sorted({n.col for n in neighbours})
-    border = materialize(
-        placed.join(per_bucket, "_bucket")
-        .filter((F.col("_place") <= reach) | (F.col("_place") > F.col("_last") - reach))
-        .select(F.col(position).alias("_at"), F.struct(*columns).alias("_row"))
-        .coalesce(1)
-    )
-    own = placed.columns
-    near = placed.withColumns({
-        f"_in_{n.name}": F.lead(F.struct(n.col), n.offset).over(inside) if n.offset > 0
-        else F.lag(F.struct(n.col), -n.offset).over(inside)
+    start, end = F.col("_rows_before") + 1, F.col("_rows_before") + F.col("_rows")
+    wanted = F.concat(F.sequence(start - reach, start - 1), F.sequence(end + 1, end + reach))
+    lent = placed.drop("_bucket").join(F.broadcast(sizes.select("_bucket", F.explode(wanted).alias(position))), position)
+    rows = placed.withColumn("_lent", F.lit(False)).unionByName(lent.withColumn("_lent", F.lit(True)))
+    bucket = W.partitionBy("_bucket").orderBy(position)
+    values = {
+        n.name: (F.lead(n.col, n.offset, n.default) if n.offset > 0 else F.lag(n.col, -n.offset, n.default)).over(bucket)
         for n in neighbours
-    })
-    values = []
-    for n in neighbours:
-        across = border.select(F.col("_at").alias(f"_at_{n.name}"), F.col("_row")[n.col].alias(f"_across_{n.name}"))
-        near = near.join(F.broadcast(across), (F.col(position) + n.offset) == F.col(f"_at_{n.name}"), "left")
-        values.append(
-            F.when(F.col(f"_in_{n.name}").isNotNull(), F.col(f"_in_{n.name}")[n.col])
-            .when(F.col(f"_at_{n.name}").isNotNull(), F.col(f"_across_{n.name}"))
-            .otherwise(F.lit(n.default))
-            .alias(n.name)
-        )
-    return near.select(*own, *values)
+    }
+    return rows.withColumns(values).filter("not _lent").drop("_lent")
 
 
 def tile(position: Column, total: Column, tiles: int) -> Column:
@@ -153,7 +138,7 @@ def running_sum(df: DataFrame, order_col: str, values: dict[str, Column]) -> Dat
     sums = df.groupBy(order_col).agg(*[F.sum(e).alias(n) for n, e in values.items()])
     slots = _slots(sums, [F.col(order_col)])
     inside = W.partitionBy("_bucket").orderBy("_place")
-    run = slots.join(F.broadcast(_before_bucket(slots, parts)), "_bucket").select(
-        F.col(order_col).alias("_at"), *[(F.col(f"_sum_{n}") + F.sum(n).over(inside)).alias(n) for n in values]
+    run = slots.join(F.broadcast(_bucket_sums(slots, parts)), "_bucket").select(
+        F.col(order_col).alias("_at"), *[(F.col(f"_sum_{n}_before") + F.sum(n).over(inside)).alias(n) for n in values]
     )
     return join_per_key(df, run, [(order_col, "_at")], "left").drop("_at")

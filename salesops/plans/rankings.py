@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesops.functions.texts import first_letter
 from salesops.operators.joins import apply_rows, lookup, top_n_per_outer
 from salesops.operators.ordered import Neighbour, dense_ranks, running_sum, tile, with_dense_rank, with_position
-from salesops.operators.predicates import in_period
+from salesops.operators.predicates import in_period, keep_in
 from salesops.operators.skew import join_per_key
 from salesops.operators.windows import latest_rows, top_n_per_group, with_group_total, within_top_values
 from salesops.sources import sales
@@ -95,19 +95,22 @@ def top2_prices_by_customer_apply(spark: SparkSession, sf_dir: str, n: int = 2)
     """For each customer the items bought at one of their n highest prices, on the last day they
     bought that item. Price ties are kept, so a customer may have more than n rows.
 
-    The different purchases are stored once and feed both rankings.
+    For each customer, item and price only the last day matters; that table is stored, as both rankings
+    read it. The price ranking leaves few rows, and last days are looked up for their items only.
     """
-    different = materialize(_purchases(spark, sf_dir).select("customer_id", "item_id", "unit_cents", "order_date").distinct())
-    last = latest_rows(different, ["customer_id", "item_id"], "order_date")
-    highest = different.select("customer_id", "unit_cents").distinct()
-    highest = top_n_per_group(highest, ["customer_id"], [F.col("unit_cents").desc()], n).drop("place")
-    chosen = last.join(highest, ["customer_id", "unit_cents"], "left_semi")
+    prices = materialize(
+        _purchases(spark, sf_dir).groupBy("customer_id", "item_id", "unit_cents").agg(F.max("order_date").alias("order_date")))
+    highest = top_n_per_group(prices.select("customer_id", "unit_cents").distinct(), ["customer_id"], [F.col("unit_cents").desc()], n)
+    dear = materialize(keep_in(prices, highest, ["customer_id", "unit_cents"]))
+    last = keep_in(prices, dear, ["customer_id", "item_id"]).groupBy("customer_id", "item_id").agg(
+        F.max("order_date").alias("order_date"))
+    chosen = dear.join(last, ["customer_id", "item_id", "order_date"])
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
     named = lookup(apply_rows(names, chosen, ["customer_id"]), sales.items(spark, sf_dir).select("item_id", "item_name"), ["item_id"])
     return named.select(
         "customer_id", "customer_name", "item_id", "item_name", sales.money("unit_cents").alias("top_price"),
         F.col("order_date").alias("last_date"),
-    ).distinct().orderBy("customer_id", F.col("top_price").desc(), "item_id")
+    ).orderBy("customer_id", F.col("top_price").desc(), "item_id")
 
 
 def customer_price_ranks(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
