@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesops.sources.storage import materialize
+
 # The item document's element names and types.
 PACKAGE = "struct<UnitPackageID:int,OuterPackageID:int,QuantityPerOuter:int,TypicalWeightPerUnit:double>"
 ITEM = (
@@ -27,12 +29,13 @@ def _flatten(item: str = "") -> list[Column]:
     return cols
 
 
-def read_xml_items(spark: SparkSession, path: str, rejected: bool = False) -> DataFrame:
-    """Item files to flat rows. Files are cut at the row tag, not loaded as one document.
+def parse_xml_items(spark: SparkSession, path: str) -> DataFrame:
+    """Item files parsed and stored, with the text of malformed items in ``_corrupt_record``.
 
-    Malformed items are left out; ``rejected=True`` returns their text instead.
+    Files are cut at the row tag, not loaded as one document. The parse is stored whole: a
+    pruned parse would not look at the columns a query leaves out, and so miss their errors.
     """
-    raw = (
+    return materialize(
         spark.read.format("xml")
         .schema(f"{ITEM}, {CORRUPT} string")
         .option("rowTag", "Item")
@@ -40,9 +43,19 @@ def read_xml_items(spark: SparkSession, path: str, rejected: bool = False) -> Da
         .option("columnNameOfCorruptRecord", CORRUPT)
         .load(path)
     )
-    if rejected:
-        return raw.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("rejected_text"))
-    return raw.filter(F.col(CORRUPT).isNull()).select(*_flatten())
+
+
+def accepted_items(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col(CORRUPT).isNull()).select(*_flatten())
+
+
+def rejected_items(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("rejected_text"))
+
+
+def read_xml_items(spark: SparkSession, path: str) -> DataFrame:
+    """Item files to flat rows; malformed items are left out (see ``rejected_items``)."""
+    return accepted_items(parse_xml_items(spark, path))
 
 
 def shred_xml(df: DataFrame, xml_col: str, keep: list[str] | None = None) -> DataFrame:
