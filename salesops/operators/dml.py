@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.operators.ordered import with_position
+from salesops.operators.skew import join_per_key
 from salesops.sources.storage import materialize
 
 
@@ -62,8 +63,8 @@ def update_all(df: DataFrame, assignments: Mapping[str, Column]) -> DataFrame:
 
 def update_from(df: DataFrame, source: DataFrame, on: list[str], columns: Mapping[str, str]) -> DataFrame:
     """Fill ``df`` columns from the matching row of ``source`` (unique on ``on``); no match keeps the old value."""
-    picked = source.select(*on, *[F.col(s).alias(f"_new_{c}") for c, s in columns.items()])
-    joined = df.join(picked, on, "left")
+    picked = source.select(*[F.col(k).alias(f"_on_{k}") for k in on], *[F.col(s).alias(f"_new_{c}") for c, s in columns.items()])
+    joined = join_per_key(df, picked.dropna(subset=[f"_on_{k}" for k in on]), [(k, f"_on_{k}") for k in on], "left")
     return joined.select(*[
         F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns
     ])

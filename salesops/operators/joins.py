@@ -3,7 +3,7 @@
 No side is force-broadcast here: Catalyst broadcasts a side by its estimated
 size and AQE by its measured size, and anything larger is a sort-merge join whose
 skewed partitions AQE splits. Where a many-rows-per-key side only feeds a sum, it
-is aggregated before the join.
+is aggregated before the join; where it is only tested for existence, it is reduced to its keys.
 """
 
 from __future__ import annotations
@@ -55,11 +55,6 @@ def top_n_per_outer(outer: DataFrame, inner: DataFrame, on: list[str], order: li
     return apply_rows(outer, cut, on)
 
 
-def attach_total(df: DataFrame, detail: DataFrame, on: list[str], totals: list[Column], how: str = "left") -> DataFrame:
-    """Aggregate ``detail`` per key, then join (a correlated aggregate subquery, decorrelated)."""
-    return df.join(detail.groupBy(*on).agg(*totals), on, how)
-
-
 def match_counts(df: DataFrame, on: list[str], name: str = "matches") -> DataFrame:
     """Rows per key: the factor by which a fan-out join on that key multiplies its other side."""
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias(name))

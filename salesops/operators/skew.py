@@ -33,8 +33,8 @@ def join_per_key(df: DataFrame, per_key: DataFrame, pairs: list[tuple[str, str]]
 def narrow_to(df: DataFrame, ids: DataFrame, on: list[str], limit: int = SMALL_ROWS) -> DataFrame:
     """``df`` cut to the keys of ``ids`` by a broadcast, if these are at most ``limit``; else unchanged.
 
-    Only saves work ahead of a join that cuts anyway. The count reads no more than limit + 1 ids.
+    Only saves work ahead of a join that cuts anyway. The keys are counted first, so the
+    broadcast has a proven size.
     """
     keys = ids.select(*on).distinct()
-    few = keys.limit(limit + 1).count() <= limit
-    return df.join(F.broadcast(keys), on, "left_semi") if few else df
+    return df.join(F.broadcast(keys), on, "left_semi") if keys.count() <= limit else df

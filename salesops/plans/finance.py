@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesops.functions.dates import resolve_period
 from salesops.functions.texts import concat_text
 from salesops.operators.dml import assign_ids, extend_dictionary, insert_rows, seed_rows, with_defaults
+from salesops.operators.predicates import in_period
 from salesops.operators.quality import check_fields, check_foreign_key, check_primary_key
 from salesops.operators.staging import active, reconcile, resolve_ids, staging_buffer
 from salesops.sources import finance, sales
@@ -147,8 +149,11 @@ def account_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
                              defaults={"valid_to": F.lit(finance.FAR_FUTURE)})[0]
 
 
-def staging_resolve(spark: SparkSession, sf_dir: str, year: int = 1998, month: int = 3) -> DataFrame:
-    """The month's staged postings, each once, with the ids of the active clients, agreements and accounts."""
+def staging_resolve(spark: SparkSession, sf_dir: str, mode: str = "previous period",
+                    today: dt.date = dt.date(1998, 4, 5)) -> DataFrame:
+    """The staged postings of the current or previous month, each once, with the ids of the active clients,
+    agreements and accounts."""
+    year, month = resolve_period(mode, today)
     now = F.lit(dt.date(year, month, 1))
     clients = active(known_clients(spark, sf_dir), now)
     buffer = staging_buffer(staged_postings(spark, sf_dir), year, month)
@@ -203,7 +208,5 @@ def posting_reconcile_again(spark: SparkSession, sf_dir: str) -> DataFrame:
 def postings_in_period(spark: SparkSession, sf_dir: str, start: dt.date = dt.date(1998, 3, 1),
                        end: dt.date = dt.date(1998, 5, 31)) -> DataFrame:
     """Stored postings of a period of days, per ground."""
-    from salesops.operators.predicates import in_period
-
     rows = in_period(load(spark, sf_dir, "orders"), "o_orderdate", start, end)
     return rows.groupBy(F.col("o_orderstatus").alias("carry_ground")).agg(F.count(F.lit(1)).alias("postings"))

@@ -1,4 +1,8 @@
-"""Every named query against its oracle SQL on the smallest tables."""
+"""Every named query against its oracle SQL on the smallest tables.
+
+Broadcast joins are switched off, so that the joins run as they would on large tables, and the plans
+are searched for shapes that do not scale.
+"""
 
 import pytest
 
@@ -20,6 +24,20 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+@pytest.fixture(scope="module")
+def large_joins(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
-def test_query(spark, name):
-    assert compare(QUERIES[name](spark, SF), oracle_connection(SF), ORACLE[name]) is None
+def test_query(spark, large_joins, name):
+    df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for shape in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert shape not in plan
+    assert compare(df, oracle_connection(SF), ORACLE[name]) is None
