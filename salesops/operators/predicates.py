@@ -38,11 +38,14 @@ def in_month(df: DataFrame, col: str, year: int, month: int) -> DataFrame:
     return in_period(df, col, *month_bounds(year, month))
 
 
-def keep_in(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
+def keep_in(df: DataFrame, ids: DataFrame, on: list[str], unique: bool = False) -> DataFrame:
     """Rows whose key occurs in ``ids`` (IN subquery).
 
-    Repeated ids are collapsed on the map side; a frequent key of ``df`` can be split by AQE.
+    Repeated ids are collapsed on the map side first; ``unique`` ids need that no more, which saves
+    a shuffle. Either way AQE can split a frequent key of ``df``.
     """
+    if unique:
+        return df.join(ids.select(*on), on, "left_semi")
     keys = ids.select(*[F.col(c).alias(f"_in_{c}") for c in on]).distinct()
     return join_per_key(df, keys.dropna(), [(c, f"_in_{c}") for c in on], "left_semi")
 

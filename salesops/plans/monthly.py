@@ -92,7 +92,7 @@ def slow_items_by_month(spark: SparkSession, sf_dir: str, below: int = 200) -> D
 def months_zero_filled(spark: SparkSession, sf_dir: str, item_name: str = "red ring", brand: str = "Brand#7") -> DataFrame:
     """Monthly sales of one kind of item over the whole calendar of orders; a month without sales shows 0."""
     kind = sales.items(spark, sf_dir).filter((F.col("item_name") == item_name) & (F.col("brand") == brand))
-    sold = keep_in(sales.lines(spark, sf_dir).select("order_id", "item_id", "amount_cents"), kind, ["item_id"])
+    sold = keep_in(sales.lines(spark, sf_dir).select("order_id", "item_id", "amount_cents"), kind, ["item_id"], unique=True)
     heads = sales.orders(spark, sf_dir).select("order_id", "order_date")
     report = lookup(sold, heads, ["order_id"]).groupBy(month_start("order_date").alias("month")).agg(
         F.sum("amount_cents").alias("sum_cents"))
@@ -125,7 +125,8 @@ def _since(spark: SparkSession, sf_dir: str, start: dt.date) -> DataFrame:
 
 def _running_report(spark: SparkSession, sf_dir: str, orders: DataFrame, months: DataFrame) -> DataFrame:
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
-    joined = lookup(lookup(orders, months.select("month", "running_cents"), ["month"]), names, ["customer_id"])
+    running = F.broadcast(months.select("month", "running_cents"))  # bounded by the calendar
+    joined = lookup(lookup(orders, running, ["month"]), names, ["customer_id"])
     return joined.select(
         "order_date", "customer_name", "order_id",
         sales.money("sum_cents").alias("order_sum"), sales.money("running_cents").alias("running_sum"),

@@ -121,7 +121,7 @@ def last_sales_with_ties(spark: SparkSession, sf_dir: str, n: int = 10) -> DataF
 def buyers_of_item(spark: SparkSession, sf_dir: str, item_name: str = "red ring") -> DataFrame:
     """Customers who bought items of a name, one row per purchase line."""
     wanted = sales.items(spark, sf_dir).filter(F.col("item_name") == item_name).select("item_id")
-    bought = keep_in(sales.lines(spark, sf_dir).select("order_id", *LINE_KEY), wanted, ["item_id"])
+    bought = keep_in(sales.lines(spark, sf_dir).select("order_id", *LINE_KEY), wanted, ["item_id"], unique=True)
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id")
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name", "segment")
     joined = lookup(heads.join(bought, "order_id"), names, ["customer_id"])
@@ -131,7 +131,7 @@ def buyers_of_item(spark: SparkSession, sf_dir: str, item_name: str = "red ring"
 def sellers_without_sale_on_day(spark: SparkSession, sf_dir: str, day: dt.date = dt.date(1998, 7, 4)) -> DataFrame:
     """Sales people without a sale on a day."""
     that_day = in_period(sales.orders(spark, sf_dir), "order_ts", day, day).select("order_id")
-    sold = keep_in(sales.lines(spark, sf_dir).select("order_id", "supplier_id"), that_day, ["order_id"])
+    sold = keep_in(sales.lines(spark, sf_dir).select("order_id", "supplier_id"), that_day, ["order_id"], unique=True)
     people = sales.suppliers(spark, sf_dir).select("supplier_id", "supplier_name")
     return without_related(people, sold, ["supplier_id"])
 
@@ -145,7 +145,7 @@ def cheapest_items(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
 def cheapest_items_in(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
     """The same rows chosen by id from an inner top-n."""
     prices = sales.items(spark, sf_dir).select("item_id", "item_name", "price")
-    return keep_in(prices, cheapest_items(spark, sf_dir, n), ["item_id"])
+    return keep_in(prices, cheapest_items(spark, sf_dir, n), ["item_id"], unique=True)
 
 
 def items_at_minimal_price(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +177,10 @@ def cities_of_dearest_items(spark: SparkSession, sf_dir: str, n: int = 3) -> Dat
     """
     picked = sales.orders(spark, sf_dir).filter("picked").select("order_id", "customer_id")
     sold = sales.lines(spark, sf_dir).select("order_id", "item_id", "unit_cents", "supplier_id")
-    in_picked = keep_in(sold, picked, ["order_id"])
+    in_picked = keep_in(sold, picked, ["order_id"], unique=True)
     dearest = top_n(in_picked.groupBy("item_id").agg(F.max("unit_cents").alias("top_cents")),
                     [F.col("top_cents").desc(), F.col("item_id")], n)
-    chosen = keep_in(sold.select("order_id", "item_id"), dearest, ["item_id"]).select("order_id").distinct()
+    chosen = keep_in(sold.select("order_id", "item_id"), dearest, ["item_id"], unique=True).select("order_id").distinct()
     packed = keep_in(picked, chosen, ["order_id"]).join(keep_in(sold, chosen, ["order_id"]), "order_id")
     packed = packed.select("customer_id", "supplier_id").distinct()
     places = sales.customers(spark, sf_dir).select("customer_id", "nation_id")

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from salesops.functions.dates import days_between
 from salesops.operators.joins import match_counts
+from salesops.operators.predicates import keep_in
+from salesops.operators.skew import join_per_key
+from salesops.operators.windows import with_group_total
 from salesops.sources import sales
 
 
@@ -14,8 +17,8 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One invoice per order. It is billed to the first customer of the same nation and segment (the
     head office); a partly delivered order is invoiced a day later."""
     clients = sales.customers(spark, sf_dir).select("customer_id", "nation_id", "segment")
-    offices = clients.groupBy("nation_id", "segment").agg(F.min("customer_id").alias("bill_to_id"))
-    billing = clients.join(offices, ["nation_id", "segment"]).select("customer_id", "bill_to_id")
+    offices = with_group_total(clients, ["nation_id", "segment"], [F.min("customer_id").alias("bill_to_id")])
+    billing = offices.select("customer_id", "bill_to_id")
     late = F.when(F.col("status") == "P", 1).otherwise(0)
     heads = sales.orders(spark, sf_dir).select(
         "order_id", "customer_id", F.date_add("order_date", late).alias("invoice_date"))
@@ -31,8 +34,8 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
     """
     supplied = sales.items(spark, sf_dir).filter(F.col("brand") == brand).select("item_id")
     lines = sales.lines(spark, sf_dir).select("order_id", "item_id", "unit_cents", "quantity")
-    chosen = lines.join(supplied, "item_id", "left_semi")
-    moves = match_counts(chosen, ["item_id"])
+    chosen = keep_in(lines, supplied, ["item_id"], unique=True)
+    moves = match_counts(chosen.select(F.col("item_id").alias("moved_item")), ["moved_item"])
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
     totals = (
         heads.join(sales.order_sums(spark, sf_dir), "order_id")
@@ -45,12 +48,13 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
         (F.col("order_id") == F.col("invoice_order_id"))
         & (F.col("bill_to_id") != F.col("customer_id"))
         & (days_between("invoice_date", "order_date") == 0),
-    ).join(totals.withColumnRenamed("customer_id", "invoice_customer_id"), "invoice_customer_id", "left_semi")
+    )
+    ordered = keep_in(ordered, totals.withColumnRenamed("customer_id", "invoice_customer_id"), ["invoice_customer_id"])
     paid = sales.orders(spark, sf_dir).select("order_id")
     joined = chosen.join(ordered.select("order_id", "customer_id"), "order_id").join(paid, "order_id")
     sums = joined.groupBy("customer_id", "item_id").agg(
         F.sum("unit_cents").alias("unit_cents"), F.sum("quantity").alias("quantity"), F.count("order_id").alias("n"))
-    return sums.join(moves, "item_id").select(
+    return join_per_key(sums, moves, [("item_id", "moved_item")], "inner").select(
         "customer_id", "item_id",
         sales.money(F.col("unit_cents") * F.col("matches")).alias("sum_unit_price"),
         (F.col("quantity") * F.col("matches")).alias("sum_quantity"),
@@ -66,23 +70,23 @@ def cross_billing_original(spark: SparkSession, sf_dir: str, brand: str = "Brand
     invoices(spark, sf_dir).createOrReplaceTempView("billing_invoices")
     return spark.sql(
         """
-        WITH moves AS (SELECT item_id, count(*) AS n FROM billing_lines GROUP BY item_id)
-        SELECT o.customer_id, l.item_id,
-               sum(l.unit_cents * m.n) / 100 AS sum_unit_price,
-               sum(l.quantity * m.n) AS sum_quantity,
-               sum(m.n) AS order_count
+        WITH moves AS (SELECT item_id, count(*) AS n FROM billing_lines GROUP BY item_id),
+        billed AS (
+        SELECT o.customer_id, l.item_id, sum(l.unit_cents) AS unit_cents, sum(l.quantity) AS quantity, count(*) AS n
         FROM billing_orders o
         JOIN billing_lines l ON l.order_id = o.order_id
         JOIN billing_invoices i ON i.order_id = o.order_id
         JOIN billing_orders t ON t.order_id = i.order_id
-        JOIN moves m ON m.item_id = l.item_id
         WHERE i.bill_to_id != o.customer_id
           AND (SELECT max(brand) FROM billing_items s WHERE s.item_id = l.item_id) = :brand
           AND (SELECT sum(x.amount_cents) FROM billing_lines x JOIN billing_orders y ON y.order_id = x.order_id
                WHERE y.customer_id = i.customer_id) > :minimum
           AND datediff(o.order_date, i.invoice_date) = 0
-        GROUP BY o.customer_id, l.item_id
-        ORDER BY o.customer_id, l.item_id
+        GROUP BY o.customer_id, l.item_id)
+        SELECT b.customer_id, b.item_id, b.unit_cents * m.n / 100 AS sum_unit_price,
+               b.quantity * m.n AS sum_quantity, b.n * m.n AS order_count
+        FROM billed b JOIN moves m ON m.item_id = b.item_id
+        ORDER BY b.customer_id, b.item_id
         """,
         args={"brand": brand, "minimum": int(minimum * 100)},
     )
