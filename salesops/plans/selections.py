@@ -49,6 +49,8 @@ def _price_or_quantity(spark: SparkSession, sf_dir: str, price: float, quantity:
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
     dear = F.col("unit_cents") > int(price * 100)
     bulk_picked = (F.col("quantity") > quantity) & F.col("picked")
+    # Most lines can be neither; they are left out before the shuffle.
+    lines = lines.filter(dear | (F.col("quantity") > quantity))
     kept = lookup(lookup(lines, heads, ["order_id"]).filter(dear | bulk_picked), names, ["customer_id"])
     return kept.select(
         "order_id",

@@ -8,20 +8,26 @@ from pyspark.sql import types as T
 # Fixed value: the field separator of the exchanged files.
 SEPARATOR = "$%#@~"
 
+_BLANK = "\u0000"  # what the parser reports for a blank field; never a field's own text
+
 
 def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR, encoding: str = "UTF-8") -> None:
-    """Text files without header; NULL is written as a blank field."""
-    df.write.mode("errorifexists").csv(path, sep=sep, encoding=encoding, nullValue="", emptyValue='""', header=False)
+    """Text files without header; NULL is written as a blank field, '' as a quoted one."""
+    df.write.mode("errorifexists").csv(
+        path, sep=sep, encoding=encoding, nullValue="", emptyValue='""', header=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = SEPARATOR,
                    encoding: str = "UTF-8") -> DataFrame:
-    """Text files by a declared schema; a blank field is NULL.
+    """Text files by a declared schema; a blank field is NULL, a quoted empty one is ''.
 
     UTF-8 files are split between tasks. Two-byte encodings need whole-file parsing
     (each file is one task), so exchange those as many files.
     """
     whole = encoding.upper().startswith("UTF-16")
     return spark.read.schema(schema).csv(
-        path, sep=sep, encoding=encoding, nullValue="", emptyValue='""', multiLine=whole, header=False, mode="FAILFAST"
+        path, sep=sep, encoding=encoding, nullValue=_BLANK, emptyValue="", multiLine=whole, header=False, mode="FAILFAST",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

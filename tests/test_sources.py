@@ -26,7 +26,7 @@ def test_declared_schemas_match_the_files(spark, sf):
 
 @pytest.mark.parametrize("encoding", ["UTF-8", "UTF-16LE"])
 def test_delimited_roundtrip(spark, tmp_path, encoding):
-    data = [(1, "plain", 1.5), (2, None, None), (3, "quo\"te, comma", -2.0), (4, "Жук 250г", 0.0), (5, "$%#@ nearly", 7.25)]
+    data = [(1, "plain", 1.5), (2, None, None), (3, "quo\"te, comma", -2.0), (4, "Жук 250г", 0.0), (5, "$%#@ nearly", 7.25), (6, "", 1.0), (7, " two\tblanks ", None)]
     df = spark.createDataFrame(data, "id int, name string, v double")
     path = str(tmp_path / encoding)
     write_delimited(df, path, encoding=encoding)
