@@ -41,8 +41,8 @@ def in_month(df: DataFrame, col: str, year: int, month: int) -> DataFrame:
 def keep_in(df: DataFrame, ids: DataFrame, on: list[str], unique: bool = False) -> DataFrame:
     """Rows whose key occurs in ``ids`` (IN subquery).
 
-    Repeated ids are collapsed on the map side first; ``unique`` ids need that no more, which saves
-    a shuffle. Either way AQE can split a frequent key of ``df``.
+    Repeated ids are collapsed on the map side first. ``unique`` is for keys read straight from a table, which
+    need no collapsing; that saves a shuffle. Either way AQE can split a frequent key of ``df``.
     """
     if unique:
         return df.join(ids.select(*on), on, "left_semi")

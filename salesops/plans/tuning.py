@@ -42,18 +42,20 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
         .groupBy("customer_id").agg(F.sum("sum_cents").alias("_total"))
         .filter(F.col("_total") > int(minimum * 100)).select("customer_id")
     )
-    bills = invoices(spark, sf_dir).withColumnRenamed("customer_id", "invoice_customer_id")
-    ordered = heads.join(
-        bills.withColumnRenamed("order_id", "invoice_order_id"),
+    bills = invoices(spark, sf_dir).withColumnsRenamed({"customer_id": "invoice_customer_id", "order_id": "invoice_order_id"})
+    # The few lines of the supplier drive the joins; they are summed per order first.
+    pieces = chosen.groupBy("order_id", "item_id").agg(
+        F.sum("unit_cents").alias("unit_cents"), F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("n"))
+    billed = pieces.join(heads, "order_id").join(
+        bills,
         (F.col("order_id") == F.col("invoice_order_id"))
         & (F.col("bill_to_id") != F.col("customer_id"))
         & (days_between("invoice_date", "order_date") == 0),
     )
-    ordered = keep_in(ordered, totals.withColumnRenamed("customer_id", "invoice_customer_id"), ["invoice_customer_id"])
-    paid = sales.orders(spark, sf_dir).select("order_id")
-    joined = chosen.join(ordered.select("order_id", "customer_id"), "order_id").join(paid, "order_id")
-    sums = joined.groupBy("customer_id", "item_id").agg(
-        F.sum("unit_cents").alias("unit_cents"), F.sum("quantity").alias("quantity"), F.count("order_id").alias("n"))
+    billed = keep_in(billed, totals.withColumnRenamed("customer_id", "invoice_customer_id"), ["invoice_customer_id"])
+    paid = sales.orders(spark, sf_dir).select(F.col("order_id").alias("invoice_order_id"))
+    sums = billed.join(paid, "invoice_order_id").groupBy("customer_id", "item_id").agg(
+        F.sum("unit_cents").alias("unit_cents"), F.sum("quantity").alias("quantity"), F.sum("n").alias("n"))
     return join_per_key(sums, moves, [("item_id", "moved_item")], "inner").select(
         "customer_id", "item_id",
         sales.money(F.col("unit_cents") * F.col("matches")).alias("sum_unit_price"),
