@@ -8,24 +8,51 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}  # application id -> temporary folder of a local session
+
+
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def _base(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if base:
+        return base.rstrip("/")
+    if not _is_local(context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL_FOLDERS[context.applicationId]
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (local tests) gets a temporary folder,
-    which is then set as the session's checkpoint directory.
+    Only a session on ``local[...]``, where driver and executor are one process, may lack that setting; it
+    gets a temporary folder. Any other session without it is an error. The context is not changed.
     """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/salesops/{context.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_base(spark)}/salesops/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Delete the files of a stored intermediate, once nothing that is still to run reads it."""
+    work = f"/salesops/{df.sparkSession.sparkContext.applicationId}/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if work not in folder:
+            raise ValueError(f"not a stored intermediate of this application: {folder}")
+        _delete(df.sparkSession, folder)
 
 
 def drop_work(spark: SparkSession) -> None:
     """Delete the work folder of this application, once none of its results is needed any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark, "end")).getParent()
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, f"{_base(spark)}/salesops/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:

@@ -7,15 +7,15 @@ are searched for shapes that do not scale.
 import pytest
 
 import __spark_entry__ as entry
+from oracle_sql_text import ORACLE
+from salesops.plans.registry import QUERIES
 from tests.conftest import SF
 from tools.check_oracle import compare, oracle_connection
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
