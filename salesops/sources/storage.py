@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -70,6 +71,16 @@ def materialize(df: DataFrame, path: str | None = None, partition_by: list[str]
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Free the disk of finished shuffles between the phases of a long job.
+
+    Spark removes a shuffle's files when the driver's JVM finds it unreachable, which it looks for only when it
+    collects garbage; this asks for it, as ``spark.cleaner.periodicGC.interval`` does every half hour.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def write_version(df: DataFrame, base: str, version: int) -> DataFrame:
     """Store a changed table next to its input as ``base/v=N``; the input is never overwritten."""
     return materialize(df, f"{base.rstrip('/')}/v={version}")
