@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesops.llm import embed_dedup, minhash
+from salesops.llm import embed_dedup, line_dedup, minhash
 from salesops.sources.tables import load
 
 
@@ -15,12 +15,17 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(load(spark, sf_dir, "embeddings"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with each fuzzy line kept once in the corpus."""
+    return line_dedup.dedup_lines(load(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: four-word shingles, similarity 0.8."""
     return minhash.near_duplicates(load(spark, sf_dir, "documents"), words=4, percent=80)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_embedding_near_dedup, op9_minhash_near_dedup)
+    f.__name__: f for f in (op4_embedding_near_dedup, op8_line_dedup, op9_minhash_near_dedup)
 }
 LLM_ORACLE: dict[str, str] = {}
