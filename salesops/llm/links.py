@@ -11,9 +11,18 @@ from salesops.operators.skew import join_per_key
 from salesops.sources.storage import drop_stored, materialize
 
 
-def _stamp(edges: DataFrame) -> tuple:
-    """One row that tells two edge tables apart."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _star(edges: DataFrame, low_edges: DataFrame, own: bool) -> DataFrame:
+    """One round over ``edges`` (u, v): u's neighbours are linked to the smallest node that ``low_edges`` has around u.
+
+    ``own``: large star, which moves the neighbours above u; else small star, for edges with v below u. ``moved`` tells
+    which edges changed. Each edge gives one edge, so their number never grows.
+    """
+    low = low_edges.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
+    low = low.select("k", F.least("k", "m").alias("m") if own else "m")
+    rows = join_per_key(edges, low, [("u", "k")], "inner")
+    end = F.col("v") if own else F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    moved = F.col("m") != F.col("u" if own else "v")
+    return materialize(rows.select(end.alias("u"), F.col("m").alias("v"), moved.alias("moved")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -21,28 +30,21 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds: each links a node's neighbours to the smallest node around, so the
     number of rounds grows with the logarithm of a component's size and the edges never outnumber the first table's.
-    Each round is a partial aggregate and a join that AQE may split (a component may hold most nodes), and is
+    Each is a partial aggregate and a join that AQE may split (a component may hold most nodes), and is
     stored. Self-links and nulls count for nothing; no edges give no rows.
     """
-    pairs = edges.where("a != b")
-    now = materialize(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    stamp = _stamp(now)
-    while stamp[0]:
-        both = now.union(now.select("v", "u"))
-        low = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")).select("k", F.least("k", "m").alias("m"))
-        large = join_per_key(both, low, [("u", "k")], "inner").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        low = large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-        small = join_per_key(large, low, [("u", "k")], "inner").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        following = materialize(small.union(low.select("k", "m")).distinct())
-        new_stamp = _stamp(following)
+    now = materialize(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    busy = not now.isEmpty()
+    while busy:
+        both = now.select("u", "v").union(now.select("v", "u"))
+        large = _star(now.select(F.col("v").alias("u"), F.col("u").alias("v")), both, True)
+        small = _star(large, large, False)
+        busy = not large.select("moved").union(small.select("moved")).where("moved").isEmpty()
         drop_stored(now)
-        now = following
-        if new_stamp == stamp:
-            break
-        stamp = new_stamp
-    roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+        drop_stored(large)
+        now = small.drop("moved")
+    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v"))
+    return nodes.distinct()
 
 
 def with_component(df: DataFrame, id_col: str, parts: DataFrame, name: str = "component_id") -> DataFrame:
@@ -51,38 +53,48 @@ def with_component(df: DataFrame, id_col: str, parts: DataFrame, name: str = "co
     return joined.withColumn(name, F.coalesce("_component", id_col)).drop("_linked", "_component")
 
 
-def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], Column],
-                 verify: Callable[[DataFrame], DataFrame], more: DataFrame) -> DataFrame:
+def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame],
+                 more: DataFrame, refine: Callable[[DataFrame], DataFrame] | None = None, nearer: Callable[[str, str], Column] | None = None) -> DataFrame:
     """(node, component) over ``more`` (edges a, b) and all verified links between rows that share a bucket.
 
     ``keys`` has (key, id), ``items`` one row per id with what ``near`` compares; ``near(left, right)`` is a
     cheap necessary condition on the columns of two aliased items; ``verify`` takes pairs (a, b) and returns the true ones as a
     stored table.
 
-    A bucket's pairs are never all formed. First each row is paired with the smallest id of its bucket; true pairs are
-    joined to components. Only a bucket that still holds several components is looked at again, and there only pairs
-    of different components are formed, filtered by ``near`` inside the join. No component is lost: a pair left out
-    is connected already. Counts come before the rows (partial aggregates), and both joins can be split.
+    A bucket's pairs are never all formed. First each row is paired with its bucket's most central row, the one whose
+    buckets hold most rows; true pairs are joined to components. Only a bucket that still holds several components is looked at
+    again, and there only pairs of different components are formed, filtered inside the join. No component is lost: a pair
+    left out is connected already. ``refine`` may add columns to the items of those buckets for ``nearer``, a sharper
+    necessary condition. Counts come before the rows (partial aggregates), and the joins can be split.
     """
-    lead = keys.groupBy(F.col("key").alias("_key")).agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
-    shared = materialize(join_per_key(keys, lead, [("key", "_key")], "inner").select("key", "id", "lead"))
-    star = shared.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    sizes = keys.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialize(join_per_key(keys, sizes, [("key", "_key")], "inner").select("key", "id", "n"))
+    weight = shared.groupBy(F.col("id").alias("_id")).agg(F.sum("n").alias("w"))
+    placed = shared.join(weight, F.col("id") == F.col("_id")).select("key", "id", F.struct("w", (-F.col("id")).alias("minus")).alias("rank"))
+    lead = placed.groupBy(F.col("key").alias("_key")).agg((-F.max("rank")["minus"]).alias("lead"))
+    paired = join_per_key(placed.select("key", "id"), lead, [("key", "_key")], "inner").where("id != lead")
+    star = materialize(paired.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
     first = verify(_near(star, items, near))
     parts = components(first)
     labelled = with_component(shared.select("key", "id"), "id", parts, "part")
     mixed = labelled.groupBy(F.col("key").alias("_key")).agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("_key")
     rest = materialize(join_per_key(labelled, mixed, [("key", "_key")], "inner").select("key", "id", "part"))
-    values = rest.join(items, "id")
-    left, right = values.alias("l"), values.alias("r")
-    pairs = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.part") < F.col("r.part")) & near("l", "r"))
-    pairs = pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
-    pairs = pairs.join(star, ["a", "b"], "left_anti")
-    second = verify(pairs)
-    drop_stored(rest)
-    whole = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second).union(more))
-    for used in (shared, first, second):
-        drop_stored(used)
-    return whole
+    late = more
+    second = None
+    if not rest.isEmpty():
+        values = items.join(rest.select("id").distinct(), "id", "left_semi")
+        values = rest.join(refine(values) if refine else values, "id")
+        condition = nearer or near
+        pairs = values.alias("l").join(values.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.part") < F.col("r.part")) & condition("l", "r"))
+        pairs = pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+        second = verify(pairs.join(star, ["a", "b"], "left_anti"))
+        late = second.union(more)
+    if not late.isEmpty():
+        parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
+    for used in (shared, star, rest, first, second):
+        if used is not None:
+            drop_stored(used)
+    return parts
 
 
 def _near(pairs: DataFrame, items: DataFrame, near: Callable[[str, str], Column]) -> DataFrame:
