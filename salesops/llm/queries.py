@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from salesops.llm import embed_dedup, line_dedup, minhash
+from salesops.llm import embed_dedup, line_dedup, minhash, mixing, packing, quality
 from salesops.sources.tables import load
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in optimal length buckets and token-budget batches."""
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence, site prior and verdict for every document."""
+    scored = quality.score_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "source", "lang", "evidence", "site_prior", "quality", "accepted")
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and class of every vector: equal label and cosine 0.93."""
     return embed_dedup.near_vectors(load(spark, sf_dir, "embeddings"))
@@ -25,7 +37,19 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of every document in the mixture, with its place in its source's epochs."""
+    return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "source", "epoch", "block_rank", "order_key")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_embedding_near_dedup, op8_line_dedup, op9_minhash_near_dedup)
+    f.__name__: f for f in (
+        op2_packing, op3_quality_classifier, op4_embedding_near_dedup, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, pipeline,
+    )
 }
 LLM_ORACLE: dict[str, str] = {}
