@@ -5,12 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesops.llm import embed_dedup, line_dedup, minhash, mixing, packing, quality
+from salesops.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, packing, quality, secrets, suffix_dedup, toxicity
 from salesops.sources.tables import load
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the fixed patterns, and all spans."""
+    found = secrets.find_secrets(load(spark, sf_dir, "documents"))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in optimal length buckets and token-budget batches."""
     return packing.pack(load(spark, sf_dir, "documents"))
@@ -27,6 +42,26 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(load(spark, sf_dir, "embeddings"))
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of a document made of passages of over 50 words that stand elsewhere too."""
+    return suffix_dedup.repeated_passages(load(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and offending sentences of every document; learnt without the held-out fifth."""
+    labels = load(spark, sf_dir, "labels").where(~toxicity.held_out("doc_id"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, labels)
+    spans = F.array_join(F.transform("toxicity.spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    score = F.col("toxicity.score")
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), spans.alias("sentences"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return fingerprint.edited_fingerprints(load(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with each fuzzy line kept once in the corpus."""
     return line_dedup.dedup_lines(load(spark, sf_dir, "documents"))
@@ -49,7 +84,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_packing, op3_quality_classifier, op4_embedding_near_dedup, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, pipeline,
+        op1_secret_scan, op2_packing, op3_quality_classifier, op4_embedding_near_dedup, op5_repeated_passages, op6_toxicity,
+        op7_fingerprints, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, pipeline,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
