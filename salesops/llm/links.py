@@ -53,8 +53,11 @@ def with_component(df: DataFrame, id_col: str, parts: DataFrame, name: str = "co
     return joined.withColumn(name, F.coalesce("_component", id_col)).drop("_linked", "_component")
 
 
+SMALL_BUCKET = 32  # rows of a bucket up to which its pairs are formed
+
+
 def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame],
-                 more: DataFrame, refine: Callable[[DataFrame], DataFrame] | None = None, nearer: Callable[[str, str], Column] | None = None) -> DataFrame:
+                 more: DataFrame, crowd_links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) over ``more`` (edges a, b) and all verified links between rows that share a bucket.
 
     ``keys`` has (key, id), ``items`` one row per id with what ``near`` compares; ``near(left, right)`` is a
@@ -63,9 +66,11 @@ def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], C
 
     A bucket's pairs are never all formed. First each row is paired with its bucket's most central row, the one whose
     buckets hold most rows; true pairs are joined to components. Only a bucket that still holds several components is looked at
-    again, and there only pairs of different components are formed, filtered inside the join. No component is lost: a pair
-    left out is connected already. ``refine`` may add columns to the items of those buckets for ``nearer``, a sharper
-    necessary condition. Counts come before the rows (partial aggregates), and the joins can be split.
+    again, and there only pairs of different components matter. No component is lost: a pair left out is connected already.
+    In buckets of up to SMALL_BUCKET rows those pairs are formed, filtered inside the join. Larger ones may hold very many pairs that are
+    nearly links; ``crowd_links``, where given, takes their rows (cluster, id, part), a cluster being what such buckets join, and returns the
+    true links between different parts without forming pairs as rows. Counts come before the rows (partial aggregates), and the joins
+    can be split.
     """
     sizes = keys.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where("n > 1")
     shared = materialize(join_per_key(keys, sizes, [("key", "_key")], "inner").select("key", "id", "n"))
@@ -77,23 +82,28 @@ def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], C
     first = verify(_near(star, items, near))
     parts = components(first)
     labelled = with_component(shared.select("key", "id"), "id", parts, "part")
-    mixed = labelled.groupBy(F.col("key").alias("_key")).agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("_key")
-    rest = materialize(join_per_key(labelled, mixed, [("key", "_key")], "inner").select("key", "id", "part"))
-    late = more
-    second = None
-    if not rest.isEmpty():
-        values = items.join(rest.select("id").distinct(), "id", "left_semi")
-        values = rest.join(refine(values) if refine else values, "id")
-        condition = nearer or near
-        pairs = values.alias("l").join(values.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.part") < F.col("r.part")) & condition("l", "r"))
+    mixed = labelled.groupBy(F.col("key").alias("_key")).agg(
+        F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"), F.min("id").alias("head")
+    ).where("lo < hi").drop("lo", "hi")
+    rest = materialize(join_per_key(labelled, mixed, [("key", "_key")], "inner").select("key", "id", "part", "n", "head"))
+    used, late = [shared, star, first, rest], more
+    small = rest.where(F.col("n") <= SMALL_BUCKET) if crowd_links else rest
+    if not small.isEmpty():
+        values = small.select("key", "id", "part").join(items, "id")
+        pairs = values.alias("l").join(values.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.part") < F.col("r.part")) & near("l", "r"))
         pairs = pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
-        second = verify(pairs.join(star, ["a", "b"], "left_anti"))
-        late = second.union(more)
+        used.append(verify(pairs.join(star, ["a", "b"], "left_anti")))
+        late = late.union(used[-1])
+    crowd = rest.where(F.col("n") > SMALL_BUCKET)
+    if crowd_links and not crowd.isEmpty():
+        clusters = components(crowd.select(F.col("head").alias("a"), F.col("id").alias("b")))
+        members = crowd.select("id", "part").distinct().join(clusters, F.col("id") == F.col("node"))
+        used.append(materialize(crowd_links(members.select(F.col("component").alias("cluster"), "id", "part"))))
+        late = late.union(used[-1])
     if not late.isEmpty():
         parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
-    for used in (shared, star, rest, first, second):
-        if used is not None:
-            drop_stored(used)
+    for table in used:
+        drop_stored(table)
     return parts
 
 
