@@ -237,6 +237,8 @@ SELECT p_partkey AS item_id, p_name AS item_name FROM part WHERE p_name LIKE '%r
     "orders_price_or_quantity": _PRICE_OR_QUANTITY,
     "orders_price_or_quantity_page": _PRICE_OR_QUANTITY + """
 ORDER BY quarter(order_date), (month(order_date) - 1) // 4, order_date, l.order_id LIMIT 100 OFFSET 1000""",
+    "orders_price_or_quantity_deep_page": _PRICE_OR_QUANTITY + """
+ORDER BY quarter(order_date), (month(order_date) - 1) // 4, order_date, l.order_id LIMIT 100 OFFSET 2000""",
     "expected_deliveries": f"""
 {_BOTH}
 SELECT s_name AS supplier_name, priority AS delivery_method, ship_date AS delivery_date, c_name AS contact_name
@@ -496,9 +498,12 @@ FROM target t JOIN source s ON s.c_name = t.c_name
 UNION ALL
 SELECT 'INSERT', count(*), max(c_custkey), CAST(sum(round(c_acctbal * 100)) AS BIGINT) FROM fresh""",
     "delimited_roundtrip": "SELECT * FROM customer",
+    "delimited_roundtrip_wide": "SELECT * FROM customer",
     "materialized_customers": """
 SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
     "xml_shred": _STOCK + "\nSELECT * FROM stock",
+    "xml_accepted": _STOCK + "\nSELECT * FROM stock WHERE StockItemID % 7 NOT IN (3, 5)",
+    "xml_rejected": _STOCK + "\nSELECT StockItemID FROM stock WHERE StockItemID % 7 IN (3, 5)",
     "xml_roundtrip": _STOCK + "\nSELECT * EXCLUDE (StockItemID) FROM stock",
     "xml_merge": _STOCK_FRESH + """
 SELECT * REPLACE (CASE WHEN UnitPackageID >= 20 THEN UnitPrice + 1 ELSE UnitPrice END AS UnitPrice),

@@ -32,8 +32,11 @@ def quoted_name(name: str) -> str:
 
 
 def properties(col: Column | str) -> Column:
-    """'a=1;b=2' to a map."""
-    return F.str_to_map(col, F.lit(";"), F.lit("="))
+    """'a=1;b=2' to a map; of a repeated name the last value counts, a name without '=' has none."""
+    pairs = F.transform(F.split(col, ";"), lambda part: F.split(part, "=", 2))
+    names = F.transform(pairs, lambda p: F.element_at(p, 1))
+    last = F.filter(pairs, lambda p, i: ~F.array_contains(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), F.element_at(p, 1)))
+    return F.map_from_entries(F.transform(last, lambda p: F.struct(F.element_at(p, 1), F.get(p, F.lit(1)))))
 
 
 def json_fields(col: Column | str) -> list[Column]:

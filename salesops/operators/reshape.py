@@ -18,25 +18,24 @@ def pivot_sum(df: DataFrame, row: str, col: str, values: list[str], value: str)
     return cells.groupBy(row).pivot(col, values).agg(F.sum("_cell"))
 
 
-def pivot_values(df: DataFrame, col: str, limit: int) -> list[str] | None:
-    """The sorted values of ``col``, or None when there are more than ``limit``.
+def pivot_values(df: DataFrame, col: str, limit: int) -> list[str]:
+    """The sorted values of ``col``; more than ``limit`` are an error.
 
     At most limit + 1 values reach the driver.
     """
     found = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    return None if len(found) > limit else sorted(r[0] for r in found)
+    if len(found) > limit:
+        raise ValueError(f"{col} has more than {limit} values: too many columns for a table, use long_cells")
+    return sorted(r[0] for r in found)
 
 
 def pivot_dynamic(df: DataFrame, row: str, col: str, value: str, names: DataFrame | None = None, limit: int = 2000) -> DataFrame:
     """Pivot whose column list is read from the data (from ``names`` when given).
 
-    A column list longer than ``limit`` is no longer a usable table; the same
-    cells are then returned complete in long form (row, column, value).
+    A column list longer than ``limit`` is no usable table and raises an error; ``long_cells`` gives the same cells as
+    rows, whatever their number. The result's columns depend on the data, its form does not.
     """
-    values = pivot_values(names if names is not None else df, col, limit)
-    if values is None:
-        return long_cells(df, row, col, value)
-    return pivot_sum(df, row, col, values, value)
+    return pivot_sum(df, row, col, pivot_values(names if names is not None else df, col, limit), value)
 
 
 def long_cells(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
@@ -48,6 +47,7 @@ def unpivot_columns(df: DataFrame, keys: list[str], cols: list[str], value: str,
     """Several columns into one, cast to text where their types differ; NULL values give no row."""
     types = {df.schema[c].dataType for c in cols}
     if len(types) > 1:
-        df = df.select(*keys, *[F.col(quoted_name(c)).cast("string").alias(c) for c in cols])
-    long = df.unpivot(keys, cols, name or "_name", value).filter(F.col(value).isNotNull())
+        df = df.select(*[F.col(quoted_name(k)) for k in keys], *[F.col(quoted_name(c)).cast("string").alias(c) for c in cols])
+    named = [[F.col(quoted_name(c)) for c in group] for group in (keys, cols)]
+    long = df.unpivot(*named, name or "_name", value).filter(F.col(quoted_name(value)).isNotNull())
     return long if name else long.drop("_name")

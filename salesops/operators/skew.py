@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 500_000  # ids up to which a key list is broadcast
-
-
 def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     """NULL-safe equality of key pairs, as a window partition compares them."""
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
@@ -28,13 +25,3 @@ def join_per_key(df: DataFrame, per_key: DataFrame, pairs: list[tuple[str, str]]
     other = per_key.withColumn("_key_hash_right", F.xxhash64(*right))
     match = same_keys(rows, other, pairs) & (rows["_key_hash"] == other["_key_hash_right"])
     return rows.join(other, match, how).drop("_key_hash", "_key_hash_right")
-
-
-def narrow_to(df: DataFrame, ids: DataFrame, on: list[str], limit: int = SMALL_ROWS) -> DataFrame:
-    """``df`` cut to the keys of ``ids`` by a broadcast, if these are at most ``limit``; else unchanged.
-
-    Only saves work ahead of a join that cuts anyway. The keys are counted first, so the
-    broadcast has a proven size.
-    """
-    keys = ids.select(*on).distinct()
-    return df.join(F.broadcast(keys), on, "left_semi") if keys.count() <= limit else df

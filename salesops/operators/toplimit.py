@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from salesops.operators.ordered import with_position
 from salesops.operators.skew import same_keys
 
-SHALLOW_ROWS = 100_000  # rows up to which a page is cut from per-task heaps
-
-
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """First ``n`` rows; each task keeps n rows only. ``order`` must end in a unique tie-break."""
     return df.orderBy(*order).limit(n)
@@ -37,12 +34,14 @@ def top_with_ties(df: DataFrame, order: dict[str, bool], n: int) -> DataFrame:
 def page(df: DataFrame, order: list[Column], start: int, width: int, num: int = 1) -> DataFrame:
     """Rows of page ``num`` (from 1): skip start + (num - 1) * width rows, take ``width``.
 
-    A shallow page is a top-k with offset. Beyond SHALLOW_ROWS that would gather all
-    skipped rows in one task, so a deep page is cut by distributed positions.
+    A top-k with offset: the skipped rows meet in one task, so this is for the first pages; see ``deep_page``.
     """
+    return df.orderBy(*order).offset(start + (num - 1) * width).limit(width)
+
+
+def deep_page(df: DataFrame, order: list[Column], start: int, width: int, num: int = 1) -> DataFrame:
+    """The same page, however deep, cut by distributed positions: every row is sorted and stored once."""
     skip = start + (num - 1) * width
-    if skip + width <= SHALLOW_ROWS:
-        return df.orderBy(*order).offset(skip).limit(width)
     placed = with_position(df, order, "_row")
     return placed.filter((F.col("_row") > skip) & (F.col("_row") <= skip + width)).drop("_row")
 

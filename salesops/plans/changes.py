@@ -106,13 +106,18 @@ def merge_parties_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("changed_rows"), F.max("new.c_custkey").alias("max_id"), F.sum(change).alias("change_cents"))
 
 
-def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def delimited_roundtrip(spark: SparkSession, sf_dir: str, encoding: str = "UTF-8") -> DataFrame:
     """The customer table exported to delimited text and imported into an empty copy of its structure."""
     table = load(spark, sf_dir, "customer")
     path = work_dir(spark, "delimited")
-    write_delimited(table, path)
+    write_delimited(table, path, encoding=encoding)
     recovered = empty_like(table)
-    return recovered.unionByName(read_delimited(spark, path, recovered.schema))
+    return recovered.unionByName(read_delimited(spark, path, recovered.schema, encoding=encoding))
+
+
+def delimited_roundtrip_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a two-byte encoding, as the original exchange has it."""
+    return delimited_roundtrip(spark, sf_dir, "UTF-16LE")
 
 
 def materialized_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

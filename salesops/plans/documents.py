@@ -10,7 +10,9 @@ from salesops.operators.dml import merge
 from salesops.sources import sales
 from salesops.sources.storage import work_dir
 from salesops.sources.tables import load
-from salesops.sources.xml import ITEM_COLUMNS, item_documents, read_xml_items, shred_xml, write_xml_items
+from salesops.sources.xml import (
+    ITEM_COLUMNS, accepted_rows, item_documents, parse_xml_column, read_xml_items, rejected_documents, shred_xml, write_xml_items,
+)
 
 
 def stock_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +37,26 @@ def xml_shred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred_xml(item_documents(stock_items(spark, sf_dir)), "document", keep=["StockItemID"])
 
 
+def _damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item documents of which two in seven are spoilt: one is cut off, one is no XML."""
+    kind = F.col("StockItemID") % 7
+    cut = F.expr("left(document, length(document) - 30)")
+    spoilt = F.when(kind == 3, cut).when(kind == 5, F.lit("no document")).otherwise(F.col("document"))
+    return item_documents(stock_items(spark, sf_dir)).withColumn("document", spoilt)
+
+
+def xml_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of the well-formed documents."""
+    keep = ["StockItemID"]
+    return accepted_rows(parse_xml_column(_damaged_documents(spark, sf_dir), "document", keep), keep)
+
+
+def xml_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of the documents that were not taken."""
+    keep = ["StockItemID"]
+    return rejected_documents(parse_xml_column(_damaged_documents(spark, sf_dir), "document", keep), keep).select(*keep)
+
+
 def xml_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items exported to XML files and imported again."""
     path = work_dir(spark, "items-xml")
@@ -107,8 +129,8 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def property_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A name=value list per customer, taken apart again."""
-    text = concat_text(F.lit("segment="), F.col("segment"), F.lit(";nation="), F.col("nation_id"))
+    """A name=value list per customer, taken apart again; a name comes twice, its last value counts."""
+    text = concat_text(F.lit("nation=0;segment="), F.col("segment"), F.lit(";nation="), F.col("nation_id"))
     found = sales.customers(spark, sf_dir).withColumn("extra_data", text).withColumn("_map", properties("extra_data"))
     return found.select(
         "customer_id", F.col("_map")["segment"].alias("segment"), F.try_element_at("_map", F.lit("nation")).cast("int").alias("nation_id"),

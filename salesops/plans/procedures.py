@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesops.operators.joins import apply_rows
-from salesops.operators.skew import narrow_to
+from salesops.operators.predicates import keep_in
 from salesops.operators.toplimit import arg_max
 from salesops.sources import sales
 
@@ -40,12 +40,12 @@ def invoices_of_customer(spark: SparkSession, sf_dir: str, customer_id: int = -1
     """Invoices and sums of one customer, latest first; an id of 0 or less means the customer with the largest invoice.
 
     The best customer is resolved to its id first, so that the scan of the orders is filtered by a value.
-    If the customer's invoices are few, only their lines are summed.
+    Only the lines of the customer's invoices are summed.
     """
     wanted = customer_id if customer_id > 0 else customer_id_with_max_invoice(spark, sf_dir)
     heads = sales.orders(spark, sf_dir).select("customer_id", "order_id", "order_date")
     own = heads.filter(F.col("customer_id") == F.lit(wanted))
-    found = narrow_to(sales.lines(spark, sf_dir).select("order_id", "amount_cents"), own, ["order_id"])
+    found = keep_in(sales.lines(spark, sf_dir).select("order_id", "amount_cents"), own.select("order_id"), ["order_id"])
     sums = found.groupBy("order_id").agg(F.sum("amount_cents").alias("sum_cents"))
     return (
         own.join(sums, "order_id")

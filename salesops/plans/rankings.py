@@ -11,7 +11,8 @@ from salesops.functions.texts import first_letter
 from salesops.operators.joins import apply_rows, lookup, top_n_per_outer
 from salesops.operators.ordered import Neighbour, dense_ranks, running_sum, tile, with_dense_rank, with_position
 from salesops.operators.predicates import in_period, keep_in
-from salesops.operators.skew import join_per_key, narrow_to
+from salesops.operators.predicates import keep_in
+from salesops.operators.skew import join_per_key
 from salesops.operators.windows import latest_rows, top_n_per_group, with_group_total, within_top_values
 from salesops.sources import sales
 from salesops.sources.storage import materialize
@@ -61,10 +62,10 @@ def last_customer_by_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
     The last days are few orders: they are stored, and sums are made for those orders only.
     """
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
-    sold = sales.lines(spark, sf_dir).select("order_id", "supplier_id", "line_no", "item_id").join(heads, "order_id")
+    sold = materialize(sales.lines(spark, sf_dir).select("order_id", "supplier_id", "line_no", "item_id").join(heads, "order_id"))
     last = materialize(latest_rows(sold, ["supplier_id"], "order_date"))
-    wanted = narrow_to(sales.lines(spark, sf_dir).select(F.col("order_id").alias("_sum_order"), "amount_cents"),
-                       last.select(F.col("order_id").alias("_sum_order")), ["_sum_order"])
+    wanted = keep_in(sales.lines(spark, sf_dir).select(F.col("order_id").alias("_sum_order"), "amount_cents"),
+                     last.select(F.col("order_id").alias("_sum_order")), ["_sum_order"])
     sums = wanted.groupBy("_sum_order").agg(F.sum("amount_cents").alias("sum_cents"))
     people = sales.suppliers(spark, sf_dir).select("supplier_id", "supplier_name")
     names = sales.customers(spark, sf_dir).select("customer_id", "customer_name")

@@ -20,6 +20,7 @@ _FUNCTIONS: list[Query] = [
     selections.entities_without_children_not_in,
     selections.orders_price_or_quantity,
     selections.orders_price_or_quantity_page,
+    selections.orders_price_or_quantity_deep_page,
     selections.expected_deliveries,
     selections.last_sales_with_ties,
     selections.buyers_of_item,
@@ -79,9 +80,12 @@ _FUNCTIONS: list[Query] = [
     changes.merge_parties,
     changes.merge_parties_log,
     changes.delimited_roundtrip,
+    changes.delimited_roundtrip_wide,
     changes.materialized_customers,
     # XML, JSON, property lists
     documents.xml_shred,
+    documents.xml_accepted,
+    documents.xml_rejected,
     documents.xml_roundtrip,
     documents.xml_merge,
     documents.xml_merge_log,

@@ -20,32 +20,38 @@ def _monthly_orders(spark: SparkSession, sf_dir: str, by_name: bool = False) ->
     """Orders per customer and month, reduced before the customer's attributes are joined."""
     heads = sales.orders(spark, sf_dir)
     counts = heads.groupBy("customer_id", month_start("order_date").alias("month")).agg(F.count("order_id").alias("orders"))
-    return counts.withColumn("invoice_month", date_text("month")).drop("month")
+    return counts
 
 
-def customer_month_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_date(pivot: DataFrame, by_text: bool) -> DataFrame:
+    """The months as text, sorted by their date; ``by_text`` sorts as written, by the text."""
+    shown = pivot.select(date_text("month").alias("invoice_month"), "*")
+    return shown.orderBy("invoice_month" if by_text else "month").drop("month")
+
+
+def customer_month_pivot(spark: SparkSession, sf_dir: str, by_text: bool = False) -> DataFrame:
     """Orders per month (rows) and customer segment (columns), the segment read from the
     parentheses of the customer's display name."""
     names = sales.customers(spark, sf_dir)
     display = concat_text(F.col("customer_name"), F.lit(" ("), F.col("segment"), F.lit(")"))
     clients = names.select("customer_id", between_parentheses(display).alias("client"))
     cells = lookup(_monthly_orders(spark, sf_dir), clients, ["customer_id"])
-    return pivot_sum(cells, "invoice_month", "client", SEGMENTS, "orders").orderBy("invoice_month")
+    return _by_date(pivot_sum(cells, "month", "client", SEGMENTS, "orders"), by_text)
 
 
-def customer_month_pivot_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_month_pivot_dynamic(spark: SparkSession, sf_dir: str, by_text: bool = False) -> DataFrame:
     """Orders per month and customer nation; the columns are read from the nations of the customers."""
     places = sales.customers(spark, sf_dir).select("customer_id", "nation_id")
     places = lookup(places, sales.nations(spark, sf_dir).select("nation_id", "nation_name"), ["nation_id"])
     cells = lookup(_monthly_orders(spark, sf_dir), places, ["customer_id"])
-    return pivot_dynamic(cells, "invoice_month", "nation_name", "orders", names=places).orderBy("invoice_month")
+    return _by_date(pivot_dynamic(cells, "month", "nation_name", "orders", names=places), by_text)
 
 
 def customer_month_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells for every single customer, in long form, where columns would be too many."""
     clients = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
     cells = lookup(_monthly_orders(spark, sf_dir), clients, ["customer_id"])
-    return long_cells(cells, "invoice_month", "customer_name", "orders")
+    return long_cells(cells, "month", "customer_name", "orders").select(date_text("month").alias("invoice_month"), "customer_name", "orders")
 
 
 def addresses_unpivot(spark: SparkSession, sf_dir: str, pattern: str = "Customer%") -> DataFrame:

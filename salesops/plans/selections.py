@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from salesops.functions import dates
 from salesops.operators.joins import lookup, without_related, without_related_full
 from salesops.operators.predicates import in_month, in_period, in_trimmed, keep_in, like_any, not_in
-from salesops.operators.skew import narrow_to
-from salesops.operators.toplimit import page, top_n, top_n_distinct, top_with_ties
+from salesops.operators.toplimit import deep_page, page, top_n, top_n_distinct, top_with_ties
 from salesops.sources import sales
 
 LINE_KEY = ["line_no", "item_id", "supplier_id"]  # with the order id, the key of a line
@@ -88,6 +87,13 @@ def orders_price_or_quantity_page(spark: SparkSession, sf_dir: str, start: int =
     return page(rows, _calendar_order(False), start, width, num).drop("order_date", *LINE_KEY)
 
 
+def orders_price_or_quantity_deep_page(spark: SparkSession, sf_dir: str, start: int = 2000, width: int = 100, num: int = 1,
+                                       price: float = 60000, quantity: int = 20, language: str = "ru") -> DataFrame:
+    """A page so deep that the rows before it must not meet in one task."""
+    rows = _price_or_quantity(spark, sf_dir, price, quantity, language)
+    return deep_page(rows, _calendar_order(False), start, width, num).drop("order_date", *LINE_KEY)
+
+
 def expected_deliveries(spark: SparkSession, sf_dir: str, year: int = 1997, month: int = 1,
                         methods: tuple[str, ...] = ("1-URGENT", "2-HIGH")) -> DataFrame:
     """Deliveries due in a month, of finished orders sent by one of the methods."""
@@ -110,7 +116,7 @@ def last_sales_with_ties(spark: SparkSession, sf_dir: str, n: int = 10) -> DataF
     """
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
     last = top_with_ties(heads, {"order_date": True}, n)
-    sold = narrow_to(sales.lines(spark, sf_dir).select("order_id", "supplier_id"), last, ["order_id"])
+    sold = keep_in(sales.lines(spark, sf_dir).select("order_id", "supplier_id"), last.select("order_id"), ["order_id"])
     sellers = sold.groupBy("order_id").agg(F.min("supplier_id").alias("supplier_id"))
     named = lookup(lookup(last, sales.customers(spark, sf_dir).select("customer_id", "customer_name"), ["customer_id"]),
                    sellers, ["order_id"])

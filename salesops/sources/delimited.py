@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: the field separator of the exchanged files.
@@ -12,8 +13,15 @@ _BLANK = "\u0000"  # what the parser reports for a blank field; never a field's
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = SEPARATOR, encoding: str = "UTF-8") -> None:
-    """Text files without header; NULL is written as a blank field, '' as a quoted one."""
-    df.write.mode("errorifexists").csv(
+    """Text files without header; NULL is written as a blank field, '' as a quoted one.
+
+    A line break inside a text fails the export: files are cut at line breaks, so that they can be read by many tasks.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    checked = {
+        c: F.when(F.col(f"`{c}`").rlike(r"[\r\n]"), F.raise_error(F.lit(f"line break in {c}"))).otherwise(F.col(f"`{c}`")) for c in texts
+    }
+    df.withColumns(checked).write.mode("errorifexists").csv(
         path, sep=sep, encoding=encoding, nullValue="", emptyValue='""', header=False,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

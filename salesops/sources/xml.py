@@ -58,11 +58,40 @@ def read_xml_items(spark: SparkSession, path: str) -> DataFrame:
     return accepted_items(parse_xml_items(spark, path))
 
 
+def parse_xml_column(df: DataFrame, xml_col: str, keep: list[str] | None = None) -> DataFrame:
+    """A column of item documents parsed and stored: ``keep``, the document (NULL where malformed) and its text where rejected.
+
+    A document is rejected as a whole if it is cut off, no XML, or holds text where a number belongs. The parse is stored
+    whole, so that a query that leaves columns out sees the same errors.
+    """
+    document = f"Item array<struct<{_as_struct(ITEM)}>>, {CORRUPT} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = df.select(*(keep or []), F.col(xml_col).alias("_text"), F.from_xml(xml_col, document, options).alias("_doc"))
+    bad = F.col("_text").isNotNull() & (F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull())
+    return materialize(parsed.select(*(keep or []), "_doc", F.when(bad, F.col("_text")).alias(CORRUPT)))
+
+
+def accepted_rows(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The items of accepted documents as flat rows, one per Item element."""
+    rows = parsed.filter(F.col(CORRUPT).isNull()).select(*(keep or []), F.explode("_doc.Item").alias("_item"))
+    return rows.select(*(keep or []), *_flatten("_item"))
+
+
+def rejected_documents(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select(*(keep or []), F.col(CORRUPT).alias("rejected_text"))
+
+
 def shred_xml(df: DataFrame, xml_col: str, keep: list[str] | None = None) -> DataFrame:
-    """A column of item documents to flat rows, one per Item element."""
-    document = f"Item array<struct<{_as_struct(ITEM)}>>"
-    parsed = df.select(*(keep or []), F.from_xml(xml_col, document, {"mode": "PERMISSIVE"}).alias("_doc"))
-    rows = parsed.select(*(keep or []), F.explode("_doc.Item").alias("_item"))
+    """A column of item documents to flat rows, one per Item element; a malformed document fails the job.
+
+    ``parse_xml_column`` takes such documents out and reports them instead.
+    """
+    document = f"Item array<struct<{_as_struct(ITEM)}>>, {CORRUPT} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = df.select(*(keep or []), F.col(xml_col).alias("_text"), F.from_xml(xml_col, document, options).alias("_doc"))
+    bad = F.col("_text").isNotNull() & (F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull())
+    items = F.when(bad, F.raise_error(F.concat(F.lit("malformed item document: "), F.left("_text", F.lit(200))))).otherwise(F.col("_doc.Item"))
+    rows = parsed.select(*(keep or []), F.explode(items).alias("_item"))
     return rows.select(*(keep or []), *_flatten("_item"))
 
 

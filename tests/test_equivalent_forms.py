@@ -1,5 +1,6 @@
 """Two formulations of one report must agree on the test tables."""
 
+import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,15 +81,21 @@ def test_fan_out_forms(spark, sf):
     assert got.exceptAll(plain).count() == 0
 
 
-def test_dynamic_pivot_falls_back_to_long_form(spark, sf):
+def test_dynamic_pivot_refuses_too_many_columns(spark, sf):
     from salesops.operators.reshape import pivot_dynamic
 
     cells = sales.orders(spark, sf).groupBy("status", "priority").agg(F.count("*").alias("n"))
     wide = pivot_dynamic(cells, "status", "priority", "n", limit=5)
-    long = pivot_dynamic(cells, "status", "priority", "n", limit=4)
     assert wide.columns == ["status", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    assert long.columns == ["status", "priority", "n"]
-    assert long.agg(F.sum("n")).first()[0] == sales.orders(spark, sf).count()
+    with pytest.raises(ValueError, match="more than 4"):
+        pivot_dynamic(cells, "status", "priority", "n", limit=4)
+
+
+def test_pivots_are_sorted_by_date(spark, sf):
+    for report in (reshaping.customer_month_pivot, reshaping.customer_month_pivot_dynamic):
+        months = [r.invoice_month for r in report(spark, sf).collect()]
+        assert months == sorted(months, key=lambda m: m.split(".")[::-1]) != sorted(months)
+        assert [r.invoice_month for r in report(spark, sf, by_text=True).collect()] == sorted(months)
 
 
 def test_pivot_cells_and_nulls(spark, sf):

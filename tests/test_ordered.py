@@ -7,8 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from salesops.operators.ordered import Neighbour, dense_ranks, running_sum, tile, with_dense_rank, with_position
-from salesops.operators.toplimit import page
-from salesops.operators import toplimit
+from salesops.operators.toplimit import deep_page, page
 from tests.conftest import rows
 
 
@@ -83,11 +82,10 @@ def test_running_sum_has_range_frame(data):
     assert rows(mine) == rows(data.select("id", F.count("*").over(w), F.sum("v").over(w)))
 
 
-def test_deep_page_equals_shallow_page(data, monkeypatch):
+def test_deep_page_equals_shallow_page(data):
     order = [F.col("name"), F.col("id")]
     shallow = rows(page(data, order, 100, 50, 3))
-    monkeypatch.setattr(toplimit, "SHALLOW_ROWS", 10)
-    assert rows(page(data, order, 100, 50, 3)) == shallow
+    assert rows(deep_page(data, order, 100, 50, 3)) == shallow
     assert len(shallow) == 50
 
 

@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from salesops.operators.joins import top_n_per_outer, without_related
+from salesops.operators.joins import apply_rows, top_n_per_outer, without_related, without_related_full
 from salesops.operators.predicates import keep_in
-from salesops.operators.skew import narrow_to
 from salesops.operators.windows import latest_rows, top_n_per_group, with_group_total, within_top_values
 from tests.conftest import rows
 
@@ -91,7 +90,15 @@ def test_anti_join_reads_each_key_once(hot, spark):
     assert {r[0] for r in mine.collect()} == set(range(1000)) - known
 
 
-def test_narrow_to_checks_the_size(hot):
-    ids = hot.filter("key < 10").select("key")
-    assert narrow_to(hot, ids, ["key"], limit=10).count() == hot.filter("key < 10").count()
-    assert narrow_to(hot, ids, ["key"], limit=3) is hot
+def test_anti_joins_and_outer_apply_are_split(splitting, hot, spark):
+    some = hot.filter("key % 2 = 1").select("key", F.col("day").alias("other"))
+    small = spark.range(20).select(F.col("id").alias("key"))
+    expected = rows(hot.join(some.select("key").distinct(), "key", "left_anti").select("id").distinct())
+    for form in (without_related, without_related_full):
+        mine = form(hot, some.unionByName(spark.createDataFrame([(None, 1)], "key bigint, other int")), ["key"])
+        assert "SortMergeJoin(skew=true)" in final_plan(mine)
+        assert rows(mine.select("id")) == expected
+    outer = spark.range(990, 1010).select(F.col("id").alias("key")).union(small)
+    mine = apply_rows(outer, hot.select("key", "id", "text"), ["key"], keep_unmatched=True)
+    assert "SortMergeJoin(skew=true)" in final_plan(mine)
+    assert rows(mine.select("key", "id")) == rows(outer.join(hot, "key", "left").select("key", "id"))

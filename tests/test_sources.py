@@ -5,13 +5,16 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from salesops.plans.documents import stock_items
 from salesops.functions.texts import all_tags, has_tag, json_fields, properties
-from salesops.sources import storage
 from salesops.sources.delimited import SEPARATOR, read_delimited, write_delimited
-from salesops.sources.storage import drop_work, empty_like, materialize, work_dir
+from salesops.sources.storage import empty_like, materialize, work_dir
 from salesops.sources.tables import SCHEMAS, load, schema_of
-from salesops.sources.xml import accepted_items, parse_xml_items, read_xml_items, rejected_items, shred_xml, to_request_xml, write_xml_items
-from tests.conftest import rows
+from salesops.sources.xml import (
+    accepted_items, accepted_rows, item_documents, parse_xml_column, parse_xml_items, read_xml_items, rejected_documents, rejected_items, shred_xml,
+    to_request_xml, write_xml_items,
+)
+from tests.conftest import SF, rows
 
 ITEMS = (
     "StockItemName string, SupplierID int, UnitPackageID int, OuterPackageID int, QuantityPerOuter int, "
@@ -68,7 +71,7 @@ def test_xml_column_with_many_items(spark):
     document = (
         '<StockItems><Item Name="x"><SupplierID>1</SupplierID><Package><UnitPackageID>7</UnitPackageID></Package></Item>'
         '<Item Name="y"><SupplierID>2</SupplierID></Item></StockItems>')
-    docs = spark.createDataFrame([(1, document), (2, "<bad"), (3, None), (4, "<StockItems></StockItems>")], "id int, doc string")
+    docs = spark.createDataFrame([(1, document), (3, None), (4, "<StockItems></StockItems>")], "id int, doc string")
     got = shred_xml(docs, "doc", keep=["id"]).select("id", "StockItemName", "SupplierID", "UnitPackageID")
     assert rows(got) == [(1, "x", 1, 7), (1, "y", 2, None)]
 
@@ -92,8 +95,24 @@ def test_json_edge_cases(spark):
 
 
 def test_properties(spark):
-    df = spark.createDataFrame([("a=1;b=x",), ("",), (None,)], "t string")
-    assert [r[0] for r in df.select(properties("t")).collect()] == [{"a": "1", "b": "x"}, {"": None}, None]
+    df = spark.createDataFrame([("a=1;b=x",), ("",), (None,), ("a=1;b=2;a=3;c",), ("a=b=c;a=",)], "t string")
+    assert [r[0] for r in df.select(properties("t")).collect()] == [{"a": "1", "b": "x"}, {"": None}, None, {"b": "2", "a": "3", "c": None}, {"a": ""}]
+
+
+def test_line_breaks_are_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="line break"):
+        write_delimited(spark.createDataFrame([("a\nb", 1)], "t string, `n.m` int"), str(tmp_path / "x"))
+
+
+def test_malformed_documents_are_reported(spark):
+    good = item_documents(stock_items(spark, SF).limit(2)).select("document").collect()
+    texts = [good[0][0], good[1][0], good[0][0][:-30], "junk", good[1][0].replace("<LeadTimeDays>", "<LeadTimeDays>x"), None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    parsed = parse_xml_column(df, "t", ["id"])
+    assert {r.id for r in accepted_rows(parsed, ["id"]).collect()} == {0, 1}
+    assert {r.id: r.rejected_text for r in rejected_documents(parsed, ["id"]).collect()} == {i: texts[i] for i in (2, 3, 4)}
+    with pytest.raises(Exception, match="malformed"):
+        shred_xml(df, "t", ["id"]).select("StockItemName").collect()
 
 
 def test_empty_copy_and_stored_table(spark):
@@ -111,14 +130,3 @@ def test_work_folder_follows_the_session(spark):
     assert first != second
     if base:
         assert first.startswith(base.rstrip("/") + "/salesops/" + spark.sparkContext.applicationId)
-
-
-def test_drop_work_removes_only_this_application(spark, monkeypatch, tmp_path):
-    kept = tmp_path / "salesops" / "other" / "t"
-    kept.mkdir(parents=True)
-    mine = tmp_path / "salesops" / "mine"
-    monkeypatch.setattr(storage, "work_dir", lambda s, label: f"{mine}/{label}")
-    path = f"{mine}/table"
-    materialize(spark.range(3).toDF("id"), path)
-    drop_work(spark)
-    assert kept.exists() and not mine.exists()
