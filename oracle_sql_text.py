@@ -606,6 +606,8 @@ WHERE order_date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'""",
 SELECT o_orderstatus AS carry_ground, count(*) AS postings FROM orders
 WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-05-31' GROUP BY 1""",
     "report_requests_stream": _REQUESTS + """
+SELECT *, true AS replied FROM counted WHERE customer_id IN (SELECT c_custkey FROM customer)""",
+    "report_requests_batches": _REQUESTS + """
 SELECT *, true AS replied FROM counted WHERE customer_id IN (SELECT c_custkey FROM customer)""",
     "report_requests_as_written": _REQUESTS + """
 SELECT * FROM counted WHERE customer_id IN (SELECT c_custkey FROM customer) AND counter > 0""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from salesops.operators.skew import join_per_key
@@ -45,21 +46,28 @@ def with_group_total(df: DataFrame, keys: list[str], totals: list[Column]) -> Da
     return joined.drop(*[f"_key_{k}" for k in keys])
 
 
-def running_total(sums: DataFrame, order_col: str, value: str, name: str) -> DataFrame:
-    """Running sum over a calendar key.
+def _calendar(df: DataFrame, date_col: str, value: str) -> DataFrame:
+    """One row per day of ``date_col`` with the sum of ``value``: what a calendar bounds may meet in one task."""
+    if not isinstance(df.schema[date_col].dataType, T.DateType):
+        raise TypeError(f"{date_col} must be a date: only a calendar bounds the rows of a running total")
+    return df.groupBy(date_col).agg(F.sum(value).alias(value))
 
-    ``sums`` must already hold one row per calendar step (day or month): the
-    window runs in one task, and the calendar bounds what it gets.
+
+def running_total(df: DataFrame, date_col: str, value: str, name: str) -> DataFrame:
+    """Running sum over a calendar: a row for each date with its sum and the running one.
+
+    Rows are summed per date first, so the window that runs in one task gets one row per date.
     """
-    return sums.withColumn(name, F.sum(value).over(W.orderBy(order_col)))
+    return _calendar(df, date_col, value).withColumn(name, F.sum(value).over(W.orderBy(date_col)))
 
 
-def running_total_lookup(sums: DataFrame, order_col: str, value: str, name: str) -> DataFrame:
-    """The same running sum without a window: each step adds up the steps not after it.
+def running_total_lookup(df: DataFrame, date_col: str, value: str, name: str) -> DataFrame:
+    """The same running sum without a window: each date adds up the dates not after it.
 
-    The steps of the calendar travel as one array from a scalar subquery, so
+    The dates of the calendar travel as one array from a scalar subquery, so
     there is no inequality join.
     """
+    sums, order_col = _calendar(df, date_col, value), date_col
     steps = sums.agg(F.collect_list(F.struct(F.col(order_col).alias("at"), F.col(value).alias("v"))))
     total = F.aggregate(
         F.filter(F.col("_steps"), lambda s: s["at"] <= F.col(order_col)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,47 +65,52 @@ def invoices_of_customers(spark: SparkSession, sf_dir: str, customers: DataFrame
     return apply_rows(outer, sums, ["customer_id"], keep_unmatched=True)
 
 
-def register_functions(spark: SparkSession, sf_dir: str) -> None:
-    """The same reports as SQL functions: sales_best_customer(), sales_best_customer_id(), sales_invoices_of(id)."""
-    sales.orders(spark, sf_dir).createOrReplaceTempView("sales_orders")
-    sales.lines(spark, sf_dir).createOrReplaceTempView("sales_lines")
-    sales.customers(spark, sf_dir).createOrReplaceTempView("sales_customers")
-    spark.sql("""
-        CREATE OR REPLACE TEMPORARY FUNCTION sales_best_customer()
+def register_functions(spark: SparkSession, sf_dir: str) -> str:
+    """The same reports as SQL functions: ..._best_customer(), ..._best_customer_id(), ..._invoices_of(id).
+
+    Returns the prefix of their names and of the views behind them; each folder of tables has its own.
+    """
+    own = "sales_" + hashlib.sha256(sf_dir.encode()).hexdigest()[:12]
+    sales.orders(spark, sf_dir).createOrReplaceTempView(f"{own}_orders")
+    sales.lines(spark, sf_dir).createOrReplaceTempView(f"{own}_lines")
+    sales.customers(spark, sf_dir).createOrReplaceTempView(f"{own}_customers")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {own}_best_customer()
         RETURNS TABLE (customer_id BIGINT, customer_name STRING, order_id BIGINT, order_date DATE, invoice_sum DOUBLE)
         RETURN SELECT c.customer_id, c.customer_name, o.order_id, o.order_date, b.sum_cents / 100
-               FROM (SELECT order_id, sum(amount_cents) AS sum_cents FROM sales_lines
+               FROM (SELECT order_id, sum(amount_cents) AS sum_cents FROM {own}_lines
                      GROUP BY order_id ORDER BY sum_cents DESC, order_id LIMIT 1) b
-               JOIN sales_orders o ON o.order_id = b.order_id
-               JOIN sales_customers c ON c.customer_id = o.customer_id
+               JOIN {own}_orders o ON o.order_id = b.order_id
+               JOIN {own}_customers c ON c.customer_id = o.customer_id
     """)
-    spark.sql("""
-        CREATE OR REPLACE TEMPORARY FUNCTION sales_best_customer_id()
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {own}_best_customer_id()
         RETURNS BIGINT
-        RETURN SELECT max(customer_id) FROM sales_best_customer()
+        RETURN SELECT max(customer_id) FROM {own}_best_customer()
     """)
-    spark.sql("""
-        CREATE OR REPLACE TEMPORARY FUNCTION sales_invoices_of(wanted BIGINT)
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {own}_invoices_of(wanted BIGINT)
         RETURNS TABLE (customer_id BIGINT, order_id BIGINT, order_date DATE, invoice_sum DOUBLE)
         RETURN SELECT o.customer_id, o.order_id, o.order_date, s.sum_cents / 100
-               FROM (SELECT order_id, sum(amount_cents) AS sum_cents FROM sales_lines GROUP BY order_id) s
-               JOIN sales_orders o ON o.order_id = s.order_id
-               WHERE o.customer_id = sales_invoices_of.wanted
+               FROM (SELECT order_id, sum(amount_cents) AS sum_cents FROM {own}_lines GROUP BY order_id) s
+               JOIN {own}_orders o ON o.order_id = s.order_id
+               WHERE o.customer_id = {own}_invoices_of.wanted
     """)
+    return own
 
 
 def invoices_by_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table function called once per customer row, in SQL."""
-    register_functions(spark, sf_dir)
-    return spark.sql("""
+    own = register_functions(spark, sf_dir)
+    return spark.sql(f"""
         SELECT c.customer_id, f.order_id, f.order_date, f.invoice_sum
-        FROM sales_customers c LEFT JOIN LATERAL sales_invoices_of(c.customer_id) f
+        FROM {own}_customers c LEFT JOIN LATERAL {own}_invoices_of(c.customer_id) f
     """)
 
 
 def best_customer_by_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scalar function used in a filter."""
-    register_functions(spark, sf_dir)
-    return spark.sql("""
-        SELECT customer_id, customer_name FROM sales_customers WHERE customer_id = sales_best_customer_id()
+    own = register_functions(spark, sf_dir)
+    return spark.sql(f"""
+        SELECT customer_id, customer_name FROM {own}_customers WHERE customer_id = {own}_best_customer_id()
     """)

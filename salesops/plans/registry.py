@@ -118,6 +118,7 @@ _FUNCTIONS: list[Query] = [
     finance.postings_in_period,
     # streaming
     requests.report_requests_stream,
+    requests.report_requests_batches,
     requests.report_requests_as_written,
     requests.report_requests_rejected,
     requests.report_requests_batch,

@@ -9,7 +9,7 @@ from salesops.sources import sales
 from salesops.sources.storage import work_dir
 from salesops.sources.tables import load
 from salesops.streaming.requests import (
-    count_invoices, read_rejected, read_replies, read_reports, request_messages, request_stream, run_reports,
+    count_invoices, read_rejected, read_replies, read_reports, request_messages, request_stream, run_decoding, run_reports,
 )
 
 YEARS_BACK = 28  # events are dated 2024, orders start in 1995
@@ -28,18 +28,26 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _run(spark: SparkSession, sf_dir: str, as_written: bool) -> str:
-    """Put the messages in an inbox and run the stream over it to the end; the output folder."""
-    inbox, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports")
-    request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir)).write.parquet(inbox)
-    invoices = sales.orders(spark, sf_dir).select("customer_id", "order_date")
-    run_reports(request_stream(spark, inbox), invoices, out_dir, as_written).awaitTermination()
+def _inbox(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """The messages put in an inbox, in a number of files where given."""
+    inbox = work_dir(spark, "requests")
+    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir))
+    (messages.repartition(files, "request_id") if files else messages).write.parquet(inbox)
+    return inbox
+
+
+def _run(spark: SparkSession, sf_dir: str, as_written: bool, files: int | None = None) -> str:
+    """Put the messages in an inbox and run the stream over it to the end; the output folder. With ``files``, each is a batch."""
+    out_dir = work_dir(spark, "reports")
+    invoices = sales.orders(spark, sf_dir).select("customer_id", "order_date", "order_ts")
+    messages = request_stream(spark, _inbox(spark, sf_dir, files), 1 if files else 1000)
+    run_reports(messages, invoices, out_dir, as_written).awaitTermination()
     return out_dir
 
 
-def report_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def report_requests_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
     """Report rows with their replies; every accepted request has one."""
-    out_dir = _run(spark, sf_dir, as_written=False)
+    out_dir = _run(spark, sf_dir, as_written=False, files=files)
     replies = read_replies(spark, out_dir).select("request_id", F.col("report_id").alias("replied_id"))
     joined = read_reports(spark, out_dir).join(replies, "request_id")
     return joined.select(
@@ -48,6 +56,11 @@ def report_requests_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_requests_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream that arrives in three batches; ids go on from batch to batch."""
+    return report_requests_stream(spark, sf_dir, files=3)
+
+
 def report_requests_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the reports that count something."""
     return read_reports(spark, _run(spark, sf_dir, as_written=True)).select(
@@ -56,7 +69,9 @@ def report_requests_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_requests_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests without a usable message."""
-    return read_rejected(spark, _run(spark, sf_dir, as_written=False)).select("request_id")
+    out_dir = work_dir(spark, "decoded")
+    run_decoding(request_stream(spark, _inbox(spark, sf_dir)), out_dir).awaitTermination()
+    return read_rejected(spark, out_dir).select("request_id")
 
 
 def report_requests_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

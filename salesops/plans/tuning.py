@@ -11,6 +11,7 @@ from salesops.operators.predicates import keep_in
 from salesops.operators.skew import join_per_key
 from salesops.operators.windows import with_group_total
 from salesops.sources import sales
+from salesops.sources.storage import materialize
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,11 +38,6 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
     chosen = keep_in(lines, supplied, ["item_id"], unique=True)
     moves = match_counts(chosen.select(F.col("item_id").alias("moved_item")), ["moved_item"])
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
-    totals = (
-        heads.join(sales.order_sums(spark, sf_dir), "order_id")
-        .groupBy("customer_id").agg(F.sum("sum_cents").alias("_total"))
-        .filter(F.col("_total") > int(minimum * 100)).select("customer_id")
-    )
     bills = invoices(spark, sf_dir).withColumnsRenamed({"customer_id": "invoice_customer_id", "order_id": "invoice_order_id"})
     # The few lines of the supplier drive the joins; they are summed per order first.
     pieces = chosen.groupBy("order_id", "item_id").agg(
@@ -52,7 +48,12 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
         & (F.col("bill_to_id") != F.col("customer_id"))
         & (days_between("invoice_date", "order_date") == 0),
     )
-    billed = keep_in(billed, totals.withColumnRenamed("customer_id", "invoice_customer_id"), ["invoice_customer_id"])
+    billed = materialize(billed)
+    # Totals are made for the customers that are billed, not for all.
+    payers = keep_in(heads, billed.select(F.col("invoice_customer_id").alias("customer_id")), ["customer_id"])
+    totals = payers.join(sales.order_sums(spark, sf_dir), "order_id").groupBy("customer_id").agg(F.sum("sum_cents").alias("_total"))
+    totals = totals.filter(F.col("_total") > int(minimum * 100)).select(F.col("customer_id").alias("invoice_customer_id"))
+    billed = keep_in(billed, totals, ["invoice_customer_id"])
     paid = sales.orders(spark, sf_dir).select(F.col("order_id").alias("invoice_order_id"))
     sums = billed.join(paid, "invoice_order_id").groupBy("customer_id", "item_id").agg(
         F.sum("unit_cents").alias("unit_cents"), F.sum("quantity").alias("quantity"), F.sum("n").alias("n"))
@@ -66,22 +67,18 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
 
 def cross_billing_original(spark: SparkSession, sf_dir: str, brand: str = "Brand#12", minimum: float = 2.0e6) -> DataFrame:
     """The same with correlated subqueries in WHERE, which Catalyst turns into joins."""
-    sales.lines(spark, sf_dir).createOrReplaceTempView("billing_lines")
-    sales.orders(spark, sf_dir).createOrReplaceTempView("billing_orders")
-    sales.items(spark, sf_dir).createOrReplaceTempView("billing_items")
-    invoices(spark, sf_dir).createOrReplaceTempView("billing_invoices")
     return spark.sql(
         """
-        WITH moves AS (SELECT item_id, count(*) AS n FROM billing_lines GROUP BY item_id),
+        WITH moves AS (SELECT item_id, count(*) AS n FROM {lines} GROUP BY item_id),
         billed AS (
         SELECT o.customer_id, l.item_id, sum(l.unit_cents) AS unit_cents, sum(l.quantity) AS quantity, count(*) AS n
-        FROM billing_orders o
-        JOIN billing_lines l ON l.order_id = o.order_id
-        JOIN billing_invoices i ON i.order_id = o.order_id
-        JOIN billing_orders t ON t.order_id = i.order_id
+        FROM {orders} o
+        JOIN {lines} l ON l.order_id = o.order_id
+        JOIN {invoices} i ON i.order_id = o.order_id
+        JOIN {orders} t ON t.order_id = i.order_id
         WHERE i.bill_to_id != o.customer_id
-          AND (SELECT max(brand) FROM billing_items s WHERE s.item_id = l.item_id) = :brand
-          AND (SELECT sum(x.amount_cents) FROM billing_lines x JOIN billing_orders y ON y.order_id = x.order_id
+          AND (SELECT max(brand) FROM {items} s WHERE s.item_id = l.item_id) = :brand
+          AND (SELECT sum(x.amount_cents) FROM {lines} x JOIN {orders} y ON y.order_id = x.order_id
                WHERE y.customer_id = i.customer_id) > :minimum
           AND datediff(o.order_date, i.invoice_date) = 0
         GROUP BY o.customer_id, l.item_id)
@@ -91,4 +88,5 @@ def cross_billing_original(spark: SparkSession, sf_dir: str, brand: str = "Brand
         ORDER BY b.customer_id, b.item_id
         """,
         args={"brand": brand, "minimum": int(minimum * 100)},
+        lines=sales.lines(spark, sf_dir), orders=sales.orders(spark, sf_dir), items=sales.items(spark, sf_dir), invoices=invoices(spark, sf_dir),
     )

@@ -44,7 +44,8 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber AS line_no",
         "l_partkey AS item_id",
         "l_suppkey AS supplier_id",
-        "CAST(l_quantity AS BIGINT) AS quantity",
+        "CASE WHEN l_quantity = floor(l_quantity) THEN CAST(l_quantity AS BIGINT) WHEN l_quantity IS NOT NULL"
+        " THEN CAST(raise_error('quantity is no whole number') AS BIGINT) END AS quantity",
         "CAST(rint(l_extendedprice * 100) AS BIGINT) AS amount_cents",
         "floor(try_divide(CAST(rint(l_extendedprice * 100) AS BIGINT), l_quantity) + 0.5D) AS unit_cents",
         "l_shipdate AS ship_ts",

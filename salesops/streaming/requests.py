@@ -2,7 +2,8 @@
 
 Each micro-batch writes its own directories, named by the batch id. A batch that is
 replayed after a failure overwrites the same directories with the same content, so
-requests, reports and replies are each kept exactly once.
+requests, reports and replies are each kept exactly once. A batch's state is written last, and readers
+take only batches that have one: requests, reports and replies of a batch become visible together.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesops.operators.dml import assign_ids
 from salesops.operators.ordered import running_sum, with_position
+from salesops.operators.predicates import in_period, keep_in
 from salesops.operators.skew import join_per_key
 from salesops.sources.xml import to_request_xml
 
@@ -66,16 +68,12 @@ def count_invoices(requests: DataFrame, invoices: DataFrame) -> DataFrame:
     Requests and invoices of a customer are never paired. Invoices become daily counts, the
     requested boundary days are put on the same time line, and a running count per customer
     answers each request as the difference of two days. A customer's time line holds at most
-    one row per calendar day, whatever its number of invoices and requests.
+    one row per calendar day, whatever its number of invoices and requests. Invoices of other customers are left out
+    before they are counted.
     """
     begin_before = F.date_sub("begin_date", 1)
-    asked = requests.select("customer_id").distinct()
-    daily = (
-        invoices.groupBy("customer_id", F.col("order_date").alias("day"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(asked, "customer_id", "left_semi")
-        .withColumn("asked", F.lit(False))
-    )
+    own = keep_in(invoices.select("customer_id", "order_date"), requests.select("customer_id"), ["customer_id"])
+    daily = own.groupBy("customer_id", F.col("order_date").alias("day")).agg(F.count(F.lit(1)).alias("n")).withColumn("asked", F.lit(False))
     boundaries = requests.select("customer_id", F.explode(F.array(begin_before, "end_date")).alias("day")).distinct()
     line = (
         daily.unionByName(boundaries.select("customer_id", "day", F.lit(0).alias("n"), F.lit(True).alias("asked")))
@@ -112,8 +110,19 @@ def _batch_path(out_dir: str, table: str, batch_id: int) -> str:
     return f"{out_dir.rstrip('/')}/{table}/batch_id={batch_id}"
 
 
+def in_reach(invoices: DataFrame, requests: DataFrame) -> DataFrame:
+    """The invoices between the first and the last day that the requests name; a count needs no others.
+
+    With a raw ``order_ts`` the range is put on that column and reaches the scan.
+    """
+    days = requests.agg(F.min("begin_date").alias("first"), F.max("end_date").alias("last")).first()
+    if days["first"] is None or days["first"] > days["last"]:
+        return invoices.filter(F.lit(False))
+    return in_period(invoices, "order_ts" if "order_ts" in invoices.columns else "order_date", days["first"], days["last"])
+
+
 def report_batch(invoices: DataFrame, out_dir: str, as_written: bool = False) -> Callable[[DataFrame, int], None]:
-    """The work of one micro-batch: decode, count, number, reply."""
+    """The work of one micro-batch: decode, count, number, reply. ``invoices``: customer_id, order_date and, if it is there, order_ts."""
     spark = invoices.sparkSession
 
     def store(df: DataFrame, table: str, batch_id: int, schema: str) -> DataFrame:
@@ -127,7 +136,7 @@ def report_batch(invoices: DataFrame, out_dir: str, as_written: bool = False) ->
             start = spark.read.schema(STATE).parquet(_batch_path(out_dir, "state", batch_id - 1)).first()["last_id"]
         requests = store(decode_requests(messages), "requests", batch_id, REQUEST)
         accepted = requests.filter("accepted").drop("body", "accepted")
-        numbered = number_reports(count_invoices(accepted, invoices), start, as_written)
+        numbered = number_reports(count_invoices(accepted, in_reach(invoices, accepted)), start, as_written)
         columns = [c.split()[0] for c in REPORT.split(", ")]
         answers = store(numbered.select(*columns, "written"), "answers", batch_id, f"{REPORT}, written boolean")
         store(answers.filter("written").select(*columns), "reports", batch_id, REPORT)
@@ -139,6 +148,26 @@ def report_batch(invoices: DataFrame, out_dir: str, as_written: bool = False) ->
     return process
 
 
+def decode_batch(spark: SparkSession, out_dir: str) -> Callable[[DataFrame, int], None]:
+    """A micro-batch that only takes requests in: nothing is counted."""
+
+    def process(messages: DataFrame, batch_id: int) -> None:
+        decode_requests(messages).write.mode("overwrite").parquet(_batch_path(out_dir, "requests", batch_id))
+        spark.range(1).select(F.lit(0).cast("bigint").alias("last_id")).write.mode("overwrite").parquet(_batch_path(out_dir, "state", batch_id))
+
+    return process
+
+
+def run_decoding(messages: DataFrame, out_dir: str) -> StreamingQuery:
+    """Start a job that stores the decoded requests of a message stream, for the rejected ones."""
+    return (
+        messages.writeStream.foreachBatch(decode_batch(messages.sparkSession, out_dir))
+        .option("checkpointLocation", f"{out_dir.rstrip('/')}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_reports(messages: DataFrame, invoices: DataFrame, out_dir: str, as_written: bool = False) -> StreamingQuery:
     """Start the job over a message stream; it stops when all available messages are done."""
     return (
@@ -150,7 +179,9 @@ def run_reports(messages: DataFrame, invoices: DataFrame, out_dir: str, as_writt
 
 
 def _read(spark: SparkSession, out_dir: str, table: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, batch_id int").parquet(f"{out_dir.rstrip('/')}/{table}")
+    base = out_dir.rstrip("/")
+    done = spark.read.schema(f"{STATE}, batch_id int").parquet(f"{base}/state").select("batch_id")
+    return spark.read.schema(f"{schema}, batch_id int").parquet(f"{base}/{table}").join(done, "batch_id", "left_semi")
 
 
 def read_reports(spark: SparkSession, out_dir: str) -> DataFrame:

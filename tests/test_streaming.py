@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from salesops.sources import sales
 from salesops.streaming.requests import (
-    count_invoices, decode_requests, read_rejected, read_replies, read_reports, report_batch, request_messages, request_stream, run_reports,
+    count_invoices, decode_requests, in_reach, read_rejected, read_replies, read_reports, report_batch, request_messages, request_stream, run_reports,
 )
 from tests.conftest import rows
 
@@ -86,6 +87,36 @@ def test_replayed_batch_changes_nothing(spark, requests, invoices, tmp_path):
     assert (rows(read_reports(spark, str(tmp_path))), rows(read_replies(spark, str(tmp_path)))) == before
 
 
+def test_an_unfinished_batch_is_not_visible(spark, requests, invoices, tmp_path, monkeypatch):
+    from salesops.streaming import requests as job
+
+    messages = request_messages(requests, spark.range(1, 11).withColumnRenamed("id", "customer_id"))
+    process = report_batch(invoices, str(tmp_path))
+    process(messages.filter("request_id < 30"), 0)
+    before = rows(read_reports(spark, str(tmp_path))), rows(read_replies(spark, str(tmp_path)))
+    path = job._batch_path
+
+    def stopped(out_dir, table, batch_id):
+        if table == "state" and batch_id == 1:
+            raise RuntimeError("stopped before the state")
+        return path(out_dir, table, batch_id)
+
+    monkeypatch.setattr(job, "_batch_path", stopped)
+    process = report_batch(invoices, str(tmp_path))
+    with pytest.raises(RuntimeError):
+        process(messages.filter("request_id >= 30").withColumn("body", F.col("body")), 1)
+    assert (tmp_path / "replies" / "batch_id=1").exists()
+    assert (rows(read_reports(spark, str(tmp_path))), rows(read_replies(spark, str(tmp_path)))) == before
+
+
+def test_counts_read_the_asked_days_only(spark, sf):
+    orders = sales.orders(spark, sf).select("customer_id", "order_date", "order_ts")
+    asked = spark.createDataFrame([(1, 5, D(1996, 3, 1), D(1996, 4, 30))], "request_id bigint, customer_id bigint, begin_date date, end_date date")
+    plan = count_invoices(asked, in_reach(orders, asked))._jdf.queryExecution().toString()
+    pushed = [line for line in plan.split("\n") if "PushedFilters" in line and "o_orderdate" in line]
+    assert pushed and all("GreaterThanOrEqual(o_orderdate" in line and "LessThan(o_orderdate" in line for line in pushed)
+
+
 def test_malformed_messages_are_not_accepted(spark):
     bodies = ["<RequestMessage><Params><CustomerID>124</CustomerID><BeginDate>2013-01-07</BeginDate><EndDate>2016-05-26</EndDate></Params></RequestMessage>",
               "<RequestMessage><Params><CustomerID>x</CustomerID></Params></RequestMessage>", "<Request", None]
