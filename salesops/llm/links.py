@@ -96,9 +96,12 @@ def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], C
         late = late.union(used[-1])
     crowd = rest.where(F.col("n") > SMALL_BUCKET)
     if crowd_links and not crowd.isEmpty():
-        clusters = components(crowd.select(F.col("head").alias("a"), F.col("id").alias("b")))
-        members = crowd.select("id", "part").distinct().join(clusters, F.col("id") == F.col("node"))
-        used.append(materialize(crowd_links(members.select(F.col("component").alias("cluster"), "id", "part"))))
+        # a row's buckets are joined by their heads: each head to the row's least one, not each to the row
+        least = crowd.groupBy(F.col("id").alias("_id")).agg(F.min("head").alias("least"))
+        heads = crowd.join(least, F.col("id") == F.col("_id")).select(F.col("head").alias("a"), F.col("least").alias("b")).distinct()
+        clusters = components(heads.union(least.select("_id", "least")))
+        members = with_component(crowd.select("id", "part").distinct(), "id", clusters, "cluster")
+        used.append(materialize(crowd_links(members.select("cluster", "id", "part"))))
         late = late.union(used[-1])
     if not late.isEmpty():
         parts = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
