@@ -83,7 +83,7 @@ def _starts(text: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _extend(min_words: int, prefix: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(h, id, pos, start, end): for rows (id, text, places), every run of ``min_words`` words that holds the prefix of a matched suffix."""
+        """(h, id, pos, start, chars): for rows (id, text, places), every run of ``min_words`` words that holds the prefix of a matched suffix."""
         for batch in batches:
             for key, text, places in zip(*batch.columns):
                 text = text.as_py()
@@ -97,9 +97,9 @@ def _extend(min_words: int, prefix: int):
                 start, end = _starts(text, words)
                 columns = [
                     pa.array(run_hashes(hashes, min_words)[at].view(np.int64)), pa.array(np.full(len(at), key.as_py(), np.int64)), pa.array(at.astype(np.int32)),
-                    pa.array(start[at].astype(np.int32)), pa.array(end[at + min_words - 1].astype(np.int32)),
+                    pa.array(start[at].astype(np.int32)), pa.array((end[at + min_words - 1] - start[at]).astype(np.int32)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "id", "pos", "start", "end"])
+                yield pa.RecordBatch.from_arrays(columns, ["h", "id", "pos", "start", "chars"])
 
     return of
 
@@ -116,7 +116,7 @@ def _merge(min_words: int):
                         if stop is not None:
                             out.append((key, start, end, first, stop - first))
                         first, start = x["pos"], x["start"]
-                    stop, end = x["pos"] + min_words, x["end"]
+                    stop, end = x["pos"] + min_words, x["start"] + x["chars"]
                 out.append((key, start, end, first, stop - first))
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)], ["id", "start", "end", "first_word", "n_words"])
@@ -124,6 +124,16 @@ def _merge(min_words: int):
     return of
 
 
+def _with_equals(rows: DataFrame, key: str, several: DataFrame, name: str) -> DataFrame:
+    """The rows whose hash is in ``several``, an aggregate of it.
+
+    The lowest bit as a further join key makes Spark shuffle both sides for the join, so that AQE can split a hot hash (see ``join_per_key``,
+    whose further hash would be as large as the rows here).
+    """
+    some = several.withColumn("_low", F.pmod(name, F.lit(2)))
+    return rows.join(some, (F.col(key) == F.col(name)) & (F.pmod(key, F.lit(2)) == F.col("_low")))
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, prefix: int = PREFIX) -> DataFrame:
     """(id, start, end, first_word, n_words): the maximal stretches of every text made of passages of ``min_words`` words or more that stand
     elsewhere too, in another text or the same one; ``start`` and ``end`` in code points. Texts without such a passage have no row.
@@ -145,23 +155,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     anchors = sampled.where("key is not null").select("key", "text_key", "pos")
     place = F.xxhash64("text_key", "pos")
     several = anchors.groupBy(F.col("key").alias("_key")).agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("_key")
-    hits = join_per_key(anchors, several, [("key", "_key")], "inner").groupBy(F.col("text_key").alias("_text")).agg(F.collect_set("pos").alias("places"))
+    hits = _with_equals(anchors, "key", several, "_key").groupBy(F.col("text_key").alias("_text")).agg(F.collect_set("pos").alias("places"))
     owners = materialize(rows.groupBy("text_key").agg(F.min("id").alias("owner"), F.count("*").alias("copies")))
     hits = hits.join(owners.select("text_key", "owner"), F.col("_text") == F.col("text_key")).select("_text", "owner", "places")
     hits = materialize(hits)
+    sizes = sampled.where("key is null").groupBy(F.col("text_key").alias("_text")).agg(F.min("start").alias("start"), F.min("end").alias("end"), F.min("pos").alias("n_words"))
+    copies = owners.where("copies > 1").select(F.col("text_key").alias("_text"), "owner")
+    sizes = materialize(copies.join(sizes, "_text"))
+    drop_stored(sampled)
     release(docs.sparkSession)
     held = rows.join(hits, (F.col("text_key") == F.col("_text")) & (F.col("id") == F.col("owner"))).select("id", "text", "places")
-    runs = materialize(held.mapInArrow(_extend(min_words, prefix), "h bigint, id bigint, pos int, start int, end int"))
+    runs = materialize(held.mapInArrow(_extend(min_words, prefix), "h bigint, id bigint, pos int, start int, chars int"))
     release(docs.sparkSession)
     place = F.xxhash64("id", "pos")
     again = runs.groupBy(F.col("h").alias("_h")).agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("_h")
-    found = join_per_key(runs, again, [("h", "_h")], "inner").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("pos", "start", "end"))).alias("at"))
+    found = _with_equals(runs, "h", again, "_h").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("pos", "start", "chars"))).alias("at"))
     spans = materialize(found.mapInArrow(_merge(min_words), "id bigint, start int, end int, first_word int, n_words int"))
     drop_stored(runs)
 
-    copies = owners.where("copies > 1").select(F.col("text_key").alias("_text"), "owner")
-    sizes = sampled.where("key is null").groupBy(F.col("text_key").alias("_text")).agg(F.min("start").alias("start"), F.min("end").alias("end"), F.min("pos").alias("n_words"))
-    sizes = copies.join(sizes, "_text")
     whole = join_per_key(rows.select("id", "text_key"), sizes, [("text_key", "_text")], "inner").select("id", "start", "end", F.lit(0).alias("first_word"), "n_words")
     single = spans.join(copies.select("owner"), F.col("id") == F.col("owner"), "left_anti")
     return single.union(whole).withColumnRenamed("id", id_col)
