@@ -23,7 +23,7 @@ KINDS = ("assign", "access", "hex", "novel")
 CONTEXT = 256  # characters on either side of a candidate that prime the compressor
 REACH = 64  # characters before a candidate in which a sensitive word must stand
 NOVELTY = 0.75  # compressed bytes of a candidate for each of its characters, at least
-DICTIONARY = 2048  # commonest identifiers around candidates
+DICTIONARY = 2048  # commonest identifiers around candidates, by distinct texts
 _HINTS = ("password", "passwd", "secret", "token", "api")
 _SENSITIVE = ("key", "secret", "token", "pass", "pwd", "auth", "bearer", "credential", "private", "signature")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
@@ -82,6 +82,15 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end
 _FOUND = pa.struct([("base", _SPANS), ("near", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("what", pa.string()), ("around", pa.string())])))])
 
 
+def _blanked(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` with blanks in the place of the spans, so that no secret makes another or itself known."""
+    out, at = [], 0
+    for start, end in sorted(spans):
+        out.append(text[at:start] + " " * (end - max(start, at)))
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
 def _scan():
     @F.arrow_udf("struct<base:array<struct<start:int,kind:string,end:int>>,near:array<struct<start:int,end:int,what:string,around:string>>>")
     def of(texts: pa.Array) -> pa.Array:
@@ -89,9 +98,9 @@ def _scan():
         for value in texts:
             text = value.as_py() or ""
             base = base_spans(text)
-            near = [
-                {"start": a, "end": b, "what": text[a:b], "around": text[max(0, a - CONTEXT) : a] + " " + text[b : b + CONTEXT]} for a, b in candidates(text, base)
-            ]
+            spans = list(candidates(text, base))
+            rest = _blanked(text, spans + [(s.start, s.end) for s in base]) if spans else ""
+            near = [{"start": a, "end": b, "what": text[a:b], "around": rest[max(0, a - CONTEXT) : a] + " " + rest[b : b + CONTEXT]} for a, b in spans]
             out.append({"base": [s._asdict() for s in base], "near": near})
         return pa.array(out, _FOUND)
 
@@ -122,15 +131,16 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, base, spans): for every row, the spans of the fixed patterns and all spans, as arrays of (start, kind, end) by start, then kind.
 
     Beyond the patterns, strings of 16 or more characters with letters and digits that follow a sensitive word within REACH characters are
-    candidates. A compressor primed with the ``dictionary`` commonest identifiers around all candidates of the corpus, then
-    with the candidate's own surroundings, tells how many bytes the candidate adds; from ``novelty`` per character on it is reported (kind
+    candidates. A compressor primed with the ``dictionary`` commonest identifiers around all candidates of the corpus, counted over distinct texts, then
+    with the candidate's own surroundings, both without candidates and base spans, tells how many bytes the candidate adds; from ``novelty`` per character on it is reported (kind
     "novel"). A string that its surroundings or the common identifiers repeat is not.
 
     A null text is as an empty one and has no spans. Rows keep their number; ids may be null or repeated. Other columns are not read.
     """
-    found = materialize(docs.select(F.col(id_col).cast("bigint").alias("id"), _scan()(F.col(text_col)).alias("f")).select("id", "f.*"))
-    near = found.select(F.explode("near").alias("n"))
-    words = near.select(F.explode(_identifiers()("n.around")).alias("word")).groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    found = materialize(docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("text_key"), _scan()(F.col(text_col)).alias("f")).select("id", "text_key", "f.*"))
+    near = found.select("text_key", F.explode("near").alias("n"))
+    in_text = near.select("text_key", F.explode(_identifiers()("n.around")).alias("word")).distinct()  # copies of a text count once
+    words = in_text.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
     common = [r.word for r in words.orderBy(F.desc("n"), "word").limit(dictionary).collect()]
     known = " ".join(reversed(common)).encode()  # the commonest last: nearest to what is compressed
     novel = F.when(F.size("near") > 0, _novel(known, novelty)("near")).otherwise(F.array().cast("array<struct<start:int,kind:string,end:int>>"))

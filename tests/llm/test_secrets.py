@@ -53,3 +53,13 @@ def test_novelty(spark):
     docs = [(1, f"the bearer {fresh} was sent"), (2, f"build {known}, then the private key {known}"), (3, f"the weather {fresh} is fine"), (4, f"auth {'ab12' * 8} done"), (5, "the password is onlyletterswithoutdigits")]
     rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.find_secrets(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert rows[1] == [("novel", 11, 11 + len(fresh))] and rows[2] == rows[3] == rows[5] == [] and rows[4] == [("hex", 5, 37)]
+
+
+def test_secrets_do_not_make_each_other_known(spark):
+    one, two, twice = "q7Zp2LmX9vKc4TbR1wYs", "Hd83kQnV5rTz0MxJ7aPe", "u4Wc9YfB2sGk6LoN8iDt"
+    docs = [(i, f"the bearer {one} and the auth {two} were sent") for i in range(5)] + [(5, f"the bearer {one} but for the auth {two} only")]
+    docs += [(6, f"first the token, {twice}, then the token, {twice}")]
+    rows = secrets.find_secrets(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    for r in rows:
+        text = dict(docs)[r.doc_id]
+        assert [text[s.start : s.end] for s in r.spans] == ([twice, twice] if r.doc_id == 6 else [one, two])
