@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -21,12 +22,15 @@ LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 
 KINDS = ("assign", "access", "hex", "novel")
 CONTEXT = 256  # characters on either side of a candidate that prime the compressor
-REACH = 64  # characters before a candidate in which a sensitive word must stand
-NOVELTY = 0.75  # compressed bytes of a candidate for each of its characters, at least
+REACH = 64  # characters before a candidate, or before the first of candidate lines in a row, in which a sensitive word must stand
+NOVELTY = 0.75  # a candidate's compressed size, at least, as a share of a random string's of its length and alphabet
 DICTIONARY = 2048  # commonest identifiers around candidates, by distinct texts
 _HINTS = ("password", "passwd", "secret", "token", "api")
 _SENSITIVE = ("key", "secret", "token", "pass", "pwd", "auth", "bearer", "credential", "private", "signature")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_NEXT_LINE = re.compile(r"[\x20\t\r]*(?:\n|\\n)(?:[\x20\t\r\n]|\\[nr])*([A-Za-z0-9+/_=-]{16,})(?=[\x20\t\r]*(?:\n|\\|[\"']|\Z))")  # of a block; line ends may be escaped
+_ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "+/_=-")
+_HEXADECIMAL = ("0123456789abcdef", "0123456789ABCDEF")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,}")
 
 
@@ -49,19 +53,23 @@ def base_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Strings of letters and digits, 16 or more, close after a sensitive word and outside of the base spans."""
+    """Strings of letters and digits, 16 or more, close after a sensitive word and outside of the base spans; also those that fill
+    the lines after such a string, without a line of another kind between."""
     low = text.lower() if text.isascii() else "".join(c.lower() if c.isascii() else c for c in text)
     done = 0
     for word in sorted({m for s in _SENSITIVE for m in _places(low, s)}):
         for m in _CANDIDATE.finditer(text, max(word, done), min(len(text), word + REACH + 512)):
             if m.start() > word + REACH:
                 break
-            end = _CANDIDATE.match(text, m.start()).end()
-            done = end
-            found = text[m.start() : end]
-            mixed = any(c.isdigit() for c in found) and any(c.isalpha() for c in found)
-            if mixed and not any(s.start < end and m.start() < s.end for s in base):
-                yield m.start(), end
+            start, end = m.start(), _CANDIDATE.match(text, m.start()).end()
+            while start >= done:
+                done = end
+                found = text[start:end]
+                mixed = any(c.isdigit() for c in found) and any(c.isalpha() for c in found)
+                if mixed and not any(s.start < end and start < s.end for s in base):
+                    yield start, end
+                if following := _NEXT_LINE.match(text, end):
+                    start, end = following.span(1)
 
 
 def _places(text: str, word: str) -> Iterator[int]:
@@ -71,6 +79,13 @@ def _places(text: str, word: str) -> Iterator[int]:
         at = text.find(word, at + 1)
 
 
+def random_bytes(candidate: str) -> float:
+    """What a random string of the candidate's length and alphabet costs: hexadecimal digits of one case, or else the classes that it has characters of."""
+    if any(set(candidate) <= set(a) for a in _HEXADECIMAL):
+        return len(candidate) * 4 / 8
+    return len(candidate) * math.log2(sum(len(a) for a in _ALPHABETS if set(candidate) & set(a))) / 8
+
+
 def marginal_bytes(candidate: str, around: str, dictionary: bytes) -> int:
     """What a candidate adds to its compressed surroundings: its frame's size, primed with both dictionaries, less an empty frame's."""
     primed = zstandard.ZstdCompressionDict(dictionary + around.encode(errors="replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -120,7 +135,7 @@ def _novel(dictionary: bytes, least: float):
     def of(rows: pa.Array) -> pa.Array:
         out = []
         for near in rows.to_pylist():
-            fresh = [n for n in near or [] if marginal_bytes(n["what"], n["around"], dictionary) >= least * len(n["what"])]
+            fresh = [n for n in near or [] if marginal_bytes(n["what"], n["around"], dictionary) >= least * random_bytes(n["what"])]
             out.append([{"start": n["start"], "kind": "novel", "end": n["end"]} for n in fresh])
         return pa.array(out, _SPANS)
 
@@ -131,9 +146,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, base, spans): for every row, the spans of the fixed patterns and all spans, as arrays of (start, kind, end) by start, then kind.
 
     Beyond the patterns, strings of 16 or more characters with letters and digits that follow a sensitive word within REACH characters are
-    candidates. A compressor primed with the ``dictionary`` commonest identifiers around all candidates of the corpus, counted over distinct texts, then
-    with the candidate's own surroundings, both without candidates and base spans, tells how many bytes the candidate adds; from ``novelty`` per character on it is reported (kind
-    "novel"). A string that its surroundings or the common identifiers repeat is not.
+    candidates, and so are the lines of a block (a key's body) that starts with one. A compressor primed with the ``dictionary`` commonest identifiers around all candidates of the corpus, counted over distinct texts, then
+    with the candidate's own surroundings, both without candidates and base spans, tells how many bytes the candidate adds; from the share ``novelty`` of what a random string of its
+    length and character classes costs on, it is reported (kind "novel"). A string that its surroundings or the common identifiers repeat is not.
 
     A null text is as an empty one and has no spans. Rows keep their number; ids may be null or repeated. Other columns are not read.
     """
