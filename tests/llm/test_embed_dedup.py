@@ -49,3 +49,17 @@ def test_odd_input(spark):
     assert got == sorted([(1, 3, 1, True), (2, 3, 1, False), (12, 3, 1, False), (12, 3, 1, False), (13, 1, 13, True), (14, 1, 13, False), *alone])
     assert [(r.n_links, r.component_id, r.kept) for r in out if r.vec_id is None] == [(0, None, True)]
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pairs_at_the_threshold_without_the_window(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(300):
+        x, y = rng.standard_normal((2, 64))
+        x /= np.linalg.norm(x)
+        y -= (x @ y) * x
+        cosine = 0.9301 if i % 4 else rng.uniform(0.9301, 0.95)
+        other = cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y)
+        rows += [(2 * i, x.astype("float32").tolist(), 1), (2 * i + 1, other.astype("float32").tolist(), 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, SCHEMA), window=1).collect()}
+    assert got == exact(rows)
