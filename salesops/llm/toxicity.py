@@ -123,12 +123,13 @@ def fit_noisy_or(sizes: np.ndarray, doc: np.ndarray, at: np.ndarray, term: np.nd
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str, max_labelled: int = MAX_LABELLED, max_terms: int = MAX_TERMS) -> Model:
-    """Learn from at most ``max_labelled`` documents with a label; labels of one id are averaged, a tie is toxic.
+    """Learn from at most ``max_labelled`` documents of the table with a label; labels of one id are averaged, a tie is toxic.
 
     The sample's ids are broadcast (their number is the bound), so no text is shuffled.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("_id"))
-    known = known.agg((F.avg(toxic_col) >= 0.5).cast("int").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
+    here = docs.select(F.col(id_col).cast("bigint").alias("_doc")).distinct()  # labels of absent documents take no place in the sample
+    known = known.agg((F.avg(toxic_col) >= 0.5).cast("int").alias("toxic")).join(here, F.col("_id") == F.col("_doc"), "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sample = materialize(texts.join(F.broadcast(known), F.col("id") == F.col("_id")).select("id", "text", "toxic"))
     terms = {x: i for i, x in enumerate(choose_terms(sample, max_terms))}

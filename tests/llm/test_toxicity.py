@@ -58,3 +58,12 @@ def test_odd_input(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     assert [r.toxicity.score < 0.5 for r in toxicity.score_toxicity(df.where("length(text) < 100"), none).collect()] == [True] * 3
     assert toxicity.score_toxicity(spark.createDataFrame([], schema), labels).count() == 0
+
+
+def test_labels_of_absent_documents_take_no_place(spark):
+    docs = [(i, "You are a vile horrid fool." if i % 2 else "The weather is mild today.") for i in range(40)]
+    labels = [(i, i % 2) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    alone = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id bigint, toxic int"), "doc_id", "text", "toxic", max_labelled=40)
+    more = spark.createDataFrame(labels + [(1000 + i, 0) for i in range(4000)], "doc_id bigint, toxic int")
+    assert alone.weights and toxicity.fit(frame, more, "doc_id", "text", "toxic", max_labelled=40) == alone
