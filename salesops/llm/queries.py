@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesops.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, packing, quality, secrets, suffix_dedup, toxicity
+from salesops.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, packing, pieces, quality, secrets, suffix_dedup, toxicity
 from salesops.sources.tables import load
 
 
@@ -77,6 +78,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "source", "epoch", "block_rank", "order_key")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, their spans in the original bytes, and the decoded text of every document, as digests."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), pieces.sha256_of_ids("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), pieces.sha256_of_ids(F.concat("starts", "ends")).alias("spans_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -85,7 +96,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_packing, op3_quality_classifier, op4_embedding_near_dedup, op5_repeated_passages, op6_toxicity,
-        op7_fingerprints, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, pipeline,
+        op7_fingerprints, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, op11_sentencepiece,
+        pipeline,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
