@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesops.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, packing, pieces, quality, secrets, suffix_dedup, toxicity
+from salesops.llm import align, embed_dedup, fingerprint, line_dedup, minhash, mixing, packing, pieces, quality, secrets, suffix_dedup, toxicity
 from salesops.sources.tables import load
 
 
@@ -88,6 +88,12 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two public tokenizers meet in every document."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align.align_documents(load(spark, sf_dir, "documents"), *paths)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -97,7 +103,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_packing, op3_quality_classifier, op4_embedding_near_dedup, op5_repeated_passages, op6_toxicity,
         op7_fingerprints, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, op11_sentencepiece,
-        pipeline,
+        op12_token_alignment, pipeline,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
