@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -9,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesops.llm import align, embed_dedup, fingerprint, line_dedup, minhash, mixing, packing, pieces, quality, secrets, suffix_dedup, toxicity
+from salesops.llm import align, embed_dedup, fingerprint, line_dedup, merkle, minhash, mixing, packing, pieces, quality, secrets, suffix_dedup, toxicity
 from salesops.sources.tables import load
 
 
@@ -94,6 +95,24 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_documents(load(spark, sf_dir, "documents"), *paths)
 
 
+def manifest_rows(docs: DataFrame) -> DataFrame:
+    """Proofs of all rows, checked with the text of a fifth of them in lower case (A-Z only)."""
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    text = F.when(tampered, F.translate("text", string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.col("text"))
+    changed = F.when(tampered, merkle.leaf_digest([text if f == "text" else F.col(f) for f in merkle.FIELDS]))
+    tree = merkle.build(docs, carry={"changed": changed})
+    folded = merkle.fold(F.coalesce("carried.changed", "leaf"), F.col("steps"))
+    root = F.lit(tree.root).cast("string")
+    rows = tree.rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", root.alias("root"), merkle.proof_digest(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether its possibly changed text still gives the root."""
+    return manifest_rows(load(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -103,7 +122,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_packing, op3_quality_classifier, op4_embedding_near_dedup, op5_repeated_passages, op6_toxicity,
         op7_fingerprints, op8_line_dedup, op9_minhash_near_dedup, op10_mixing, op11_sentencepiece,
-        op12_token_alignment, pipeline,
+        op12_token_alignment, op13_merkle_manifest, pipeline,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
