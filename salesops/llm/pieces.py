@@ -7,7 +7,6 @@ piece's bytes are projected back to the source.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,7 +22,7 @@ from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 # The sign that stands for a blank in pieces, what replaces nothing else, and the kinds of pieces.
 BLANK = "▁".encode()
 UNKNOWN, USER_DEFINED, BYTE = 2, 4, 6
-CHUNK = 1 << 22  # bytes of text that are encoded at once
+CHUNK = 1 << 20  # bytes of text that are encoded at once
 
 
 class CharMap:
@@ -200,7 +199,9 @@ def codec(model: bytes) -> PieceCodec:
     return PieceCodec(model)
 
 
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+def _lists(parts: list[np.ndarray], packed: bool) -> pa.Array:
+    if packed:
+        return pa.array([p.astype("<u4").tobytes() for p in parts], pa.binary())
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts).astype(np.int32)))
 
@@ -220,15 +221,16 @@ def _runs(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
 FIELDS = "ids array<int>, starts array<int>, ends array<int>, decoded string"
 
 
-def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", ends: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", ends: bool = True, packed: bool = False) -> DataFrame:
     """``docs`` with ``ids``, ``starts``, ``ends`` and ``decoded``, in place of columns so named.
 
     ``starts`` and ``ends`` are byte ranges of the UTF-8 text: together they cover it from left to right without gaps, save that
     characters which the model drops at the end of a text belong to no piece. Of a character that becomes several byte pieces the
-    last one carries it and the others are empty. ``decoded`` is what the ids decode to.
+    last one carries it and the others are empty. ``decoded`` is what the ids decode to. With ``packed`` the three lists are binaries of
+    little-endian unsigned 32-bit integers, as token files hold them, instead of arrays.
 
     The model file is read once, by the driver, and sent along (some hundred KB, whatever the data). No shuffle; a task encodes
-    texts in runs of about 4 MB. A null text is as an empty one: with ``ends`` the begin and end ids only. Repeated rows and
+    texts in runs of about 1 MB. A null text is as an empty one: with ``ends`` the begin and end ids only. Repeated rows and
     all other columns stay; an empty table gives an empty result.
     """
     with open(model_path, "rb") as file:
@@ -237,7 +239,7 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", ends:
     kept = [c for c in docs.columns if c.lower() not in own or c == text_col]
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text" + "_".join(["", *docs.columns])), *[F.col(f"`{c}`") for c in kept])
     outside = [i for i, f in enumerate(rows.schema.fields) if i and f.name.lower() not in own]
-    schema = T.StructType([*[rows.schema.fields[i] for i in outside], *T.StructType.fromDDL(FIELDS).fields])
+    schema = T.StructType([*[rows.schema.fields[i] for i in outside], *T.StructType.fromDDL(FIELDS.replace("array<int>", "binary") if packed else FIELDS).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(model)
@@ -247,16 +249,8 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", ends:
             for lo, hi in _runs([len(t) for t in texts], CHUNK):
                 done = tool.encode(texts[lo:hi], ends)
                 columns = [c.slice(lo, hi - lo) for c in others]
-                columns += [_lists([getattr(e, name) for e in done]) for name in ("ids", "starts", "ends")]
+                columns += [_lists([getattr(e, name) for e in done], packed) for name in ("ids", "starts", "ends")]
                 columns.append(pa.array(tool.decode([e.ids.tolist() for e in done]), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
     return rows.mapInArrow(run, schema)
-
-
-@F.arrow_udf(T.StringType())
-def sha256_of_ids(ids: pa.Array) -> pa.Array:
-    """The sha256 of integers as little-endian unsigned 32-bit ones."""
-    flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-    offsets = ids.offsets.to_numpy()
-    return pa.array([hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])], pa.string())

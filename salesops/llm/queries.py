@@ -82,11 +82,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, their spans in the original bytes, and the decoded text of every document, as digests."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return coded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), pieces.sha256_of_ids("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), pieces.sha256_of_ids(F.concat("starts", "ends")).alias("spans_sha256"),
-    )
+    coded = pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), packed=True)
+    digests = [F.sha2(c, 256).alias(n) for c, n in (("ids", "ids_sha256"), ("decoded", "decoded_sha256"), (F.concat("starts", "ends"), "spans_sha256"))]
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), *digests)
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
