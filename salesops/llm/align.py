@@ -36,18 +36,18 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Aligned(NamedTuple):
-    """What one text gives: token counts, groups as text, and its linked id pairs with the times each is linked."""
+    """What one text gives: token counts, groups as they are hashed, and its linked id pairs with the times each is linked."""
 
     n_a: int
     n_b: int
     n_groups: int
     n_links: int
-    groups: str
+    groups: bytes
     pairs: np.ndarray
     times: np.ndarray
 
 
-NOTHING = Aligned(0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+NOTHING = Aligned(0, 0, 0, 0, b"", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 class Aligner:
@@ -58,6 +58,8 @@ class Aligner:
         self.a = Tokenizer.from_str(byte_level.decode())
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_proto=piece_model)
+        if self.a.normalizer is not None:
+            raise ValueError("the byte-level tokenizer must not normalise")
         alphabet = _byte_alphabet()
         spec = json.loads(byte_level)
         names = {i: p for p, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec.get("added_tokens", [])}
@@ -70,17 +72,16 @@ class Aligner:
         self.width_a, self.width_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # each id with the sign that follows it: inside its side of a group, or at its end
         na, nb = len(self.bytes_a), len(self.bytes_b)
-        self.words = [f"{i}{c}" for n, signs in ((na, ",|"), (nb, ",;")) for c in signs for i in range(n)]
+        self.words = [f"{i}{c}".encode() for n, signs in ((na, ",|"), (nb, ",;")) for c in signs for i in range(n)]
         self.base_a, self.base_b = (0, na), (2 * na, 2 * na + nb)
 
-    def _same_bytes(self, data: bytes, ids: list[int], table: list[bytes]) -> bool:
-        return b"".join(map(table.__getitem__, ids)) == data
-
     def _one(self, data: bytes, a: list[int], b: list[int]) -> Aligned:
-        if not (self._same_bytes(data, a, self.bytes_a) and self._same_bytes(data, b, self.bytes_b)):
+        if b"".join(map(self.bytes_b.__getitem__, b)) != data:
             return NOTHING
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(self.width_a[ids_a]), np.cumsum(self.width_b[ids_b])
+        if ends_a[-1] != len(data):  # A has no normaliser: its tokens are the text's bytes in order, and can only lack some
+            return NOTHING
         # no token is empty, so an end belongs to one token of each side
         _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
@@ -91,7 +92,7 @@ class Aligner:
         word = np.empty(len(a) + len(b), np.int64)
         word[place_a] = ids_a + np.where(last_a, self.base_a[1], self.base_a[0])
         word[place_b] = ids_b + np.where(last_b, self.base_b[1], self.base_b[0])
-        groups = "".join(map(self.words.__getitem__, word.tolist()))[:-1]
+        groups = b"".join(map(self.words.__getitem__, word.tolist()))[:-1]
         pairs, times = np.unique(ids_a[at_a] << _SECOND | ids_b[at_b], return_counts=True)
         return Aligned(len(a), len(b), len(at_a), len(at_a), groups, pairs, times)
 
@@ -153,7 +154,7 @@ def align_distinct(docs: DataFrame, byte_level_path: str, piece_path: str, text_
             for lo, hi in _runs(words):
                 done = tool.align(words[lo:hi])
                 numbers = [pa.array([getattr(d, n) for d in done], pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")]
-                digest = pa.array([hashlib.sha256(d.groups.encode()).hexdigest() if d.groups else "" for d in done], pa.string())
+                digest = pa.array([hashlib.sha256(d.groups).hexdigest() if d.groups else "" for d in done], pa.string())
                 columns = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), *numbers, digest]
                 columns += [_lists([d.pairs for d in done]), _lists([d.times for d in done])]
                 yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _OUT.split(", ")])
