@@ -106,8 +106,8 @@ def _descend(levels: list[DataFrame], start: DataFrame) -> DataFrame:
 
 
 def _inner(levels: list[DataFrame], tree: str) -> list[DataFrame]:
-    kept = [level.where("n > 1").select(F.lit(tree).alias("tree"), "group", F.lit(i).alias("level"), "lo", "hi", "digest") for i, level in enumerate(levels, 1)]
-    return kept
+    """The nodes of a tree above its leaves; a lone leaf has none."""
+    return [level.where("n > 1").select(F.lit(tree).alias("tree"), "group", F.lit(i).alias("level"), "lo", "hi", "digest") for i, level in enumerate(levels, 1)]
 
 
 def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group_col: str = "source", id_col: str = "doc_id",
