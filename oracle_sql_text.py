@@ -228,6 +228,12 @@ SELECT strftime(date_trunc('month', o_orderdate), '%d.%m.%Y') AS invoice_month,
 FROM orders LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1"""
 
 
+# the orders of one month with a cent more
+_DELTA = """
+WITH month_orders AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) + 1 AS cents FROM orders
+                      WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-01-31')
+"""
+
 ORACLE: dict[str, str] = {
     "items_by_name_pattern": """
 SELECT p_partkey AS item_id, p_name AS item_name FROM part WHERE p_name LIKE '%ring%' OR p_name LIKE 'red%'""",
@@ -614,4 +620,29 @@ SELECT * FROM counted WHERE customer_id IN (SELECT c_custkey FROM customer) AND
     "report_requests_rejected": _REQUESTS + """
 SELECT request_id FROM requests WHERE customer_id NOT IN (SELECT c_custkey FROM customer)""",
     "report_requests_batch": _REQUESTS + "\nSELECT * FROM counted",
+    "merge_month": _DELTA + """
+SELECT o_orderkey, o_custkey, o_orderstatus, coalesce(cents, CAST(round(o_totalprice * 100) AS BIGINT)) / 100.0::DOUBLE AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders LEFT JOIN (SELECT o_orderkey AS k, cents FROM month_orders) ON k = o_orderkey
+UNION ALL
+SELECT -1 - o_orderkey, o_custkey, o_orderstatus, cents / 100.0::DOUBLE, CAST(o_orderdate AS DATE), o_orderpriority FROM month_orders
+WHERE o_orderstatus = 'F'""",
+    "merge_month_log": _DELTA + """
+SELECT 'UPDATE' AS action, count(*) AS changed_rows, min(o_orderkey) AS lowest_key, CAST(count(*) AS BIGINT) AS change_cents FROM month_orders HAVING count(*) > 0
+UNION ALL
+SELECT 'INSERT', count(*), -1 - max(o_orderkey), CAST(sum(cents) AS BIGINT) FROM month_orders WHERE o_orderstatus = 'F' HAVING count(*) > 0""",
+    "correct_month": """
+WITH days AS (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT o_orderstatus AS status, count(*) AS first_rows, count(*) FILTER (WHERE o_orderpriority IS NULL) AS first_cleared,
+       count(*) FILTER (WHERE NOT (day BETWEEN DATE '1997-02-01' AND DATE '1997-02-28' AND o_orderstatus <> 'F')) AS last_rows,
+       count(*) FILTER (WHERE o_orderpriority IS NULL OR day BETWEEN DATE '1997-01-01' AND DATE '1997-01-31') AS last_cleared
+FROM days GROUP BY 1""",
+    "insert_after_delete": """
+WITH top AS (SELECT max(c_custkey) AS id FROM customer)
+SELECT customer.* FROM customer, top WHERE c_custkey < id
+UNION ALL
+SELECT id + row_number() OVER (ORDER BY 'Test customer name ' || c_custkey), 'Test customer name ' || c_custkey, c_nationkey, c_acctbal, c_mktsegment
+FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 5), top""",
 }
+ORACLE["expected_deliveries_by_month"] = ORACLE["expected_deliveries"]
+ORACLE["postings_in_period_by_month"] = ORACLE["postings_in_period"]

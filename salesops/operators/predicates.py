@@ -28,9 +28,14 @@ def in_period(df: DataFrame, col: str, start: dt.date, end: dt.date) -> DataFram
     """Rows dated from ``start`` to ``end``, both days included.
 
     Written as a half-open range on the raw column, so that it is pushed to the
-    scan and prunes row groups; a cast or year() on the column would not be.
+    scan and prunes row groups; a cast or year() on the column would not be. Where the table is stored by the
+    month of ``col`` (a column ``<col>_month``), the months of the period are put on that column too, and
+    the files of other months are not read.
     """
-    return df.filter((F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end + dt.timedelta(days=1))))
+    rows = df.filter((F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end + dt.timedelta(days=1))))
+    if f"{col}_month" in df.columns:
+        rows = rows.filter(F.col(f"{col}_month").between(F.lit(start.replace(day=1)), F.lit(end)))
+    return rows
 
 
 def in_month(df: DataFrame, col: str, year: int, month: int) -> DataFrame:

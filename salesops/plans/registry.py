@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesops.plans import (
-    changes, documents, finance, monthly, procedures, rankings, requests, reshaping, scalars, selections, tuning,
+    changes, documents, finance, monthly, procedures, rankings, requests, reshaping, scalars, selections, tuning, versions,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ _FUNCTIONS: list[Query] = [
     selections.orders_price_or_quantity_page,
     selections.orders_price_or_quantity_deep_page,
     selections.expected_deliveries,
+    selections.expected_deliveries_by_month,
     selections.last_sales_with_ties,
     selections.buyers_of_item,
     selections.sellers_without_sale_on_day,
@@ -82,6 +83,11 @@ _FUNCTIONS: list[Query] = [
     changes.delimited_roundtrip,
     changes.delimited_roundtrip_wide,
     changes.materialized_customers,
+    # versions of stored tables
+    versions.merge_month,
+    versions.merge_month_log,
+    versions.correct_month,
+    versions.insert_after_delete,
     # XML, JSON, property lists
     documents.xml_shred,
     documents.xml_accepted,
@@ -116,6 +122,7 @@ _FUNCTIONS: list[Query] = [
     finance.posting_reconcile,
     finance.posting_reconcile_again,
     finance.postings_in_period,
+    finance.postings_in_period_by_month,
     # streaming
     requests.report_requests_stream,
     requests.report_requests_batches,

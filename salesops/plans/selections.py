@@ -12,6 +12,8 @@ from salesops.operators.joins import lookup, without_related, without_related_fu
 from salesops.operators.predicates import in_month, in_period, in_trimmed, keep_in, like_any, not_in
 from salesops.operators.toplimit import deep_page, page, top_n, top_n_distinct, top_with_ties
 from salesops.sources import sales
+from salesops.sources.facts import in_months_of, store_by_month
+from salesops.sources.storage import work_dir
 
 LINE_KEY = ["line_no", "item_id", "supplier_id"]  # with the order id, the key of a line
 
@@ -97,8 +99,9 @@ def orders_price_or_quantity_deep_page(spark: SparkSession, sf_dir: str, start:
 def expected_deliveries(spark: SparkSession, sf_dir: str, year: int = 1997, month: int = 1,
                         methods: tuple[str, ...] = ("1-URGENT", "2-HIGH")) -> DataFrame:
     """Deliveries due in a month, of finished orders sent by one of the methods."""
-    due = in_month(sales.lines(spark, sf_dir), "ship_ts", year, month).select("order_id", *LINE_KEY, "ship_date")
-    heads = sales.orders(spark, sf_dir).filter(in_trimmed("priority", list(methods)) & F.col("picked"))
+    lines = in_month(sales.lines(spark, sf_dir), "ship_ts", year, month)
+    due = lines.select("order_id", *LINE_KEY, "ship_date")
+    heads = in_months_of(sales.orders(spark, sf_dir), lines, "order_ts").filter(in_trimmed("priority", list(methods)) & F.col("picked"))
     heads = heads.select("order_id", "customer_id", "priority")
     names = sales.suppliers(spark, sf_dir).select("supplier_id", "supplier_name")
     contacts = sales.customers(spark, sf_dir).select("customer_id", F.col("customer_name").alias("contact_name"))
@@ -108,6 +111,11 @@ def expected_deliveries(spark: SparkSession, sf_dir: str, year: int = 1997, mont
     )
 
 
+def expected_deliveries_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from facts stored by month: one shipping month of lines is read, and the months of their orders."""
+    return expected_deliveries(spark, store_by_month(spark, sf_dir, work_dir(spark, "months")))
+
+
 def last_sales_with_ties(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
     """The n last orders by date, and all others of the same last day, with customer and seller.
 

@@ -22,10 +22,17 @@ def money(cents_col: Column | str) -> Column:
     return col.cast("double") / 100
 
 
+def _months(df: DataFrame) -> list[str]:
+    """The months of the dates, where the table is stored by month."""
+    names = {"o_orderdate_month": "order_ts_month", "l_shipdate_month": "ship_ts_month"}
+    return [f"{c} AS {n}" for c, n in names.items() if c in df.columns]
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, which is also its invoice. ``order_ts`` is the raw
     column: range predicates on it reach the Parquet scan."""
-    return load(spark, sf_dir, "orders").selectExpr(
+    table = load(spark, sf_dir, "orders")
+    return table.selectExpr(
         "o_orderkey AS order_id",
         "o_custkey AS customer_id",
         "o_orderdate AS order_ts",
@@ -34,12 +41,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderstatus = 'F' AS picked",
         "CAST(rint(o_totalprice * 100) AS BIGINT) AS total_cents",
         "o_orderpriority AS priority",
+        *_months(table),
     )
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line; unit price is the amount per piece, rounded half up to a cent."""
-    return load(spark, sf_dir, "lineitem").selectExpr(
+    table = load(spark, sf_dir, "lineitem")
+    return table.selectExpr(
         "l_orderkey AS order_id",
         "l_linenumber AS line_no",
         "l_partkey AS item_id",
@@ -51,6 +60,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate AS ship_ts",
         "to_date(l_shipdate) AS ship_date",
         "l_returnflag AS return_flag",
+        *_months(table),
     )
 
 

@@ -27,14 +27,22 @@ SCHEMAS: dict[str, str] = {
 
 
 CATALOG = "catalog:"
+MONTHS = "months:"  # folder of facts stored by month, "|", where the other tables are
+BY_MONTH = {"orders": "o_orderdate_month date", "lineitem": "o_orderdate_month date, l_shipdate_month date"}
 ORDER_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one named table; columns and filters are pruned and pushed by Catalyst.
 
-    ``sf_dir`` is a directory of Parquet tables, or ``catalog:schema`` for the tables of a catalog schema.
+    ``sf_dir`` is a directory of Parquet tables, ``catalog:schema`` for the tables of a catalog schema, or what
+    ``facts.store_by_month`` returns: facts then have the months of their dates as further columns.
     """
+    if sf_dir.startswith(MONTHS):
+        folder, other = sf_dir.removeprefix(MONTHS).split("|", 1)
+        if name not in BY_MONTH:
+            return load(spark, other, name)
+        return spark.read.schema(f"{SCHEMAS[name]}, {BY_MONTH[name]}").parquet(f"{folder.rstrip('/')}/{name}.parquet")
     if sf_dir.startswith(CATALOG):
         return spark.table(f"{sf_dir.removeprefix(CATALOG)}.{name}")
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
