@@ -646,3 +646,11 @@ FROM (SELECT * FROM customer ORDER BY c_custkey LIMIT 5), top""",
 }
 ORACLE["expected_deliveries_by_month"] = ORACLE["expected_deliveries"]
 ORACLE["postings_in_period_by_month"] = ORACLE["postings_in_period"]
+ORACLE["report_requests_delivered_twice"] = ORACLE["report_requests_compacted"] = _REQUESTS + """
+SELECT * FROM counted WHERE customer_id IN (SELECT c_custkey FROM customer)"""
+ORACLE["requests_answered"] = _REQUESTS + """
+SELECT request_id, customer_id, counter FROM counted
+WHERE customer_id IN (SELECT c_custkey FROM customer) AND request_id <= (SELECT floor((min(request_id) + max(request_id)) / 2) FROM requests)"""
+ORACLE["requests_still_open"] = _REQUESTS + """
+SELECT request_id FROM requests
+WHERE customer_id NOT IN (SELECT c_custkey FROM customer) OR request_id > (SELECT floor((min(request_id) + max(request_id)) / 2) FROM requests)"""

@@ -129,6 +129,10 @@ _FUNCTIONS: list[Query] = [
     requests.report_requests_as_written,
     requests.report_requests_rejected,
     requests.report_requests_batch,
+    requests.report_requests_delivered_twice,
+    requests.report_requests_compacted,
+    requests.requests_answered,
+    requests.requests_still_open,
 ]
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in _FUNCTIONS}

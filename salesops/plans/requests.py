@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from salesops.sources import sales
 from salesops.sources.storage import work_dir
 from salesops.sources.tables import load
+from salesops.streaming.replies import read_answered, read_open, run_reception
 from salesops.streaming.requests import (
-    count_invoices, read_rejected, read_replies, read_reports, request_messages, request_stream, run_decoding, run_reports,
+    compact_reports, count_invoices, once, read_rejected, read_replies, read_reports, request_messages, request_stream, run_decoding, run_reports,
 )
 
 YEARS_BACK = 28  # events are dated 2024, orders start in 1995
@@ -74,6 +75,57 @@ def report_requests_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejected(spark, out_dir).select("request_id")
 
 
+def _invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales.orders(spark, sf_dir).select("customer_id", "order_date", "order_ts")
+
+
+def report_requests_delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports when every message is delivered twice, in different batches: each request is reported once."""
+    inbox, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports")
+    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir))
+    for key in ("request_id", "body"):  # two deliveries, differently dealt into files
+        messages.repartition(2, key).write.mode("append").parquet(inbox)
+    run_reports(once(request_stream(spark, inbox, 1)), _invoices(spark, sf_dir), out_dir).awaitTermination()
+    return read_reports(spark, out_dir).select("request_id", "customer_id", "begin_date", "end_date", "counter")
+
+
+def report_requests_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports after the job's batches were merged into one, and two more batches came in."""
+    inbox, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports")
+    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir))
+    late = F.pmod(F.xxhash64("request_id"), F.lit(2)) == 1
+    for part in (~late, late):
+        messages.where(part).repartition(2, "request_id").write.mode("append").parquet(inbox)
+        run_reports(request_stream(spark, inbox, 1), _invoices(spark, sf_dir), out_dir).awaitTermination()
+        compact_reports(spark, out_dir)
+    return read_reports(spark, out_dir).select("request_id", "customer_id", "begin_date", "end_date", "counter")
+
+
+def _cut_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(reports, reception) when the report job has handled the first half of the ids and the other half only was sent."""
+    inbox, report_dir, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports"), work_dir(spark, "reception")
+    requests = event_requests(spark, sf_dir)
+    half = requests.agg(F.floor((F.min("request_id") + F.max("request_id")) / 2)).scalar()
+    messages = request_messages(requests, sales.customers(spark, sf_dir)).withColumn("_first", F.col("request_id") <= half)
+    messages.where("_first").drop("_first").write.parquet(inbox)
+    run_reports(request_stream(spark, inbox), _invoices(spark, sf_dir), report_dir).awaitTermination()
+    messages.where("NOT _first").drop("_first").write.mode("append").parquet(inbox)
+    run_reception(once(request_stream(spark, inbox)), report_dir, out_dir).awaitTermination()
+    return report_dir, out_dir
+
+
+def requests_answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests whose reply was received, with the count of the report that the reply names."""
+    report_dir, out_dir = _cut_run(spark, sf_dir)
+    reports = read_reports(spark, report_dir).select("report_id", "customer_id", "counter")
+    return read_answered(spark, out_dir).join(reports, "report_id").select("request_id", "customer_id", "counter")
+
+
+def requests_still_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests without a reply after the cut run: those not handled yet and those whose message was no request."""
+    return read_open(spark, _cut_run(spark, sf_dir)[1])
+
+
 def report_requests_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts alone, without messages, for all requests of known and unknown customers."""
     return count_invoices(event_requests(spark, sf_dir), sales.orders(spark, sf_dir).select("customer_id", "order_date"))

@@ -37,7 +37,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{_base(spark)}/salesops/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is not there is no error."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -48,12 +55,12 @@ def drop_stored(df: DataFrame) -> None:
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if work not in folder:
             raise ValueError(f"not a stored intermediate of this application: {folder}")
-        _delete(df.sparkSession, folder)
+        delete_path(df.sparkSession, folder)
 
 
 def drop_work(spark: SparkSession) -> None:
     """Delete the work folder of this application, once none of its results is needed any more."""
-    _delete(spark, f"{_base(spark)}/salesops/{spark.sparkContext.applicationId}")
+    delete_path(spark, f"{_base(spark)}/salesops/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:

@@ -20,13 +20,14 @@ from salesops.operators.ordered import running_sum, with_position
 from salesops.operators.predicates import in_period, keep_in
 from salesops.operators.skew import join_per_key
 from salesops.sources.xml import to_request_xml
+from salesops.streaming.batches import STATE, compact, read_batches
 
 MESSAGE = "request_id bigint, body string"
 PARAMS = "Params struct<CustomerID:bigint,BeginDate:date,EndDate:date>"
 REQUEST = "request_id bigint, body string, customer_id bigint, begin_date date, end_date date, accepted boolean"
 REPORT = "report_id bigint, request_id bigint, customer_id bigint, begin_date date, end_date date, counter bigint"
 REPLY = "request_id bigint, body string"
-STATE = "last_id bigint"
+TABLES = {"requests": REQUEST, "answers": f"{REPORT}, written boolean", "reports": REPORT, "replies": REPLY}
 
 
 def request_messages(requests: DataFrame, customers: DataFrame) -> DataFrame:
@@ -48,6 +49,23 @@ def request_stream(spark: SparkSession, path: str, files_per_batch: int = 1000)
     return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
+def once(messages: DataFrame, within: str = "7 days") -> DataFrame:
+    """Messages of a request stream without those whose request was delivered before, in whatever batch.
+
+    Request ids are kept in the state store for ``within`` of their arrival (the time of the message's file, not of its sender, so that no request is
+    too late to be taken); a message delivered again later than that counts as a new request. A message without an id is kept.
+    """
+    arrived = F.col("_metadata.file_modification_time")
+    key = F.coalesce(F.col("request_id").cast("string"), F.uuid())
+    timed = messages.select("*", arrived.alias("_arrived"), key.alias("_request")).withWatermark("_arrived", within)
+    return timed.dropDuplicatesWithinWatermark(["_request"]).drop("_arrived", "_request")
+
+
+def compact_reports(spark: SparkSession, out_dir: str) -> int:
+    """Merge the finished batches of a report job; the last batch merged."""
+    return compact(spark, out_dir, TABLES)
+
+
 def decode_requests(messages: DataFrame) -> DataFrame:
     """Message bodies to typed columns; ``accepted`` is false for a body that gives no full request."""
     parsed = messages.withColumn("_params", F.from_xml("body", PARAMS, {"mode": "PERMISSIVE"})["Params"])
@@ -138,7 +156,7 @@ def report_batch(invoices: DataFrame, out_dir: str, as_written: bool = False) ->
         accepted = requests.filter("accepted").drop("body", "accepted")
         numbered = number_reports(count_invoices(accepted, in_reach(invoices, accepted)), start, as_written)
         columns = [c.split()[0] for c in REPORT.split(", ")]
-        answers = store(numbered.select(*columns, "written"), "answers", batch_id, f"{REPORT}, written boolean")
+        answers = store(numbered.select(*columns, "written"), "answers", batch_id, TABLES["answers"])
         store(answers.filter("written").select(*columns), "reports", batch_id, REPORT)
         reply = F.concat(F.lit("<ReportID>"), F.col("report_id"), F.lit("</ReportID>"))
         store(answers.select("request_id", reply.alias("body")), "replies", batch_id, REPLY)
@@ -179,9 +197,7 @@ def run_reports(messages: DataFrame, invoices: DataFrame, out_dir: str, as_writt
 
 
 def _read(spark: SparkSession, out_dir: str, table: str, schema: str) -> DataFrame:
-    base = out_dir.rstrip("/")
-    done = spark.read.schema(f"{STATE}, batch_id int").parquet(f"{base}/state").select("batch_id")
-    return spark.read.schema(f"{schema}, batch_id int").parquet(f"{base}/{table}").join(done, "batch_id", "left_semi")
+    return read_batches(spark, out_dir, table, schema)
 
 
 def read_reports(spark: SparkSession, out_dir: str) -> DataFrame:
