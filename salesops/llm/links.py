@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.operators.skew import join_per_key
-from salesops.sources.storage import drop_stored, materialize
+from salesops.sources.storage import drop_stored, materialize, release
 
 
 def _star(edges: DataFrame, low_edges: DataFrame, own: bool) -> DataFrame:
@@ -56,11 +57,18 @@ def with_component(df: DataFrame, id_col: str, parts: DataFrame, name: str = "co
 SMALL_BUCKET = 32  # rows of a bucket up to which its pairs are formed
 
 
-def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame],
+def _shared(keys: DataFrame) -> DataFrame:
+    """(key, id, n) of the keys that several rows have, stored."""
+    sizes = keys.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where("n > 1")
+    return materialize(join_per_key(keys, sizes, [("key", "_key")], "inner").select("key", "id", "n"))
+
+
+def bucket_links(keys: DataFrame | list[DataFrame], items: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame],
                  more: DataFrame, crowd_links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) over ``more`` (edges a, b) and all verified links between rows that share a bucket.
 
-    ``keys`` has (key, id), ``items`` one row per id with what ``near`` compares; ``near(left, right)`` is a
+    ``keys`` has (key, id), or is a list of such tables with different keys, which are then reduced to the shared ones one after
+    another, each freeing its shuffles before the next; ``items`` one row per id with what ``near`` compares; ``near(left, right)`` is a
     cheap necessary condition on the columns of two aliased items; ``verify`` takes pairs (a, b) and returns the true ones as a
     stored table.
 
@@ -72,8 +80,12 @@ def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], C
     true links between different parts without forming pairs as rows. Counts come before the rows (partial aggregates), and the joins
     can be split.
     """
-    sizes = keys.groupBy(F.col("key").alias("_key")).agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialize(join_per_key(keys, sizes, [("key", "_key")], "inner").select("key", "id", "n"))
+    kinds = []
+    for kind in keys if isinstance(keys, list) else [keys]:
+        kinds.append(_shared(kind))
+        if isinstance(keys, list):
+            release(items.sparkSession)
+    shared = reduce(DataFrame.unionByName, kinds)
     weight = shared.groupBy(F.col("id").alias("_id")).agg(F.sum("n").alias("w"))
     placed = shared.join(weight, F.col("id") == F.col("_id")).select("key", "id", F.struct("w", (-F.col("id")).alias("minus")).alias("rank"))
     lead = placed.groupBy(F.col("key").alias("_key")).agg((-F.max("rank")["minus"]).alias("lead"))
@@ -86,7 +98,7 @@ def bucket_links(keys: DataFrame, items: DataFrame, near: Callable[[str, str], C
         F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n"), F.min("id").alias("head")
     ).where("lo < hi").drop("lo", "hi")
     rest = materialize(join_per_key(labelled, mixed, [("key", "_key")], "inner").select("key", "id", "part", "n", "head"))
-    used, late = [shared, star, first, rest], more
+    used, late = [*kinds, star, first, rest], more
     small = rest.where(F.col("n") <= SMALL_BUCKET) if crowd_links else rest
     if not small.isEmpty():
         values = small.select("key", "id", "part").join(items, "id")
