@@ -2,141 +2,266 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from dataclasses import dataclass, fields
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesops.llm.links import components
-from salesops.operators.ordered import with_position
 from salesops.operators.skew import join_per_key
-from salesops.sources.storage import drop_stored, materialize
-
-PASSES = 40
-PREFIX_BITS = 12  # vectors that share these bits of a pass are always compared in it
-KEY_BITS = 32  # bits of a pass's sort key
-WINDOW = 64  # neighbours after a vector that it is compared with
-BLOCK = 1024  # vectors compared in one group
-_STRIP = 128
+from salesops.sources.storage import drop_stored, materialize, release
 
+RUN = 1024  # vectors that an even hash would leave in a run of equal prefixes, whatever the size of a label
+MISSED = 5e-5  # share of the pairs at the threshold that share a prefix in no pass
+KEY_BITS = 31  # bits of a pass's sort key
+WINDOW = 64  # vectors before a vector, of other runs, that it is compared with too
+CROWD = 8192  # vectors of one run up to which one task compares them
+_STRIP = 64
+_SLACK = 1e-9  # products of matrices may differ from single products by less
+_FOUND = "a bigint, b bigint, n bigint"
 
-def _planes(dim: int, passes: int) -> np.ndarray:
-    return np.random.default_rng(dim * 1009 + 17).standard_normal((dim, passes * KEY_BITS))
 
+def plan_passes(largest: int, cosine: float, run: int = RUN) -> tuple[int, int]:
+    """(bits of a prefix, passes) for labels of up to ``largest`` vectors.
 
-def _keys(unit: np.ndarray, passes: int) -> np.ndarray:
-    """(rows, passes) sort keys: KEY_BITS signs of projections each, the first sign highest."""
-    signs = (unit @ _planes(unit.shape[1], passes) > 0).reshape(len(unit), passes, KEY_BITS)
-    return signs @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
+    The prefix grows with the logarithm of the label, so that a run does not; the passes grow as more bits part a pair more often.
+    """
+    bits = min(KEY_BITS, max(0, math.ceil(math.log2(max(1, largest) / run))))
+    meet = (1 - math.acos(cosine) / math.pi) ** bits
+    return bits, 1 if meet == 1 else math.ceil(math.log(MISSED) / math.log(1 - meet))
 
 
-def _unit(vectors) -> np.ndarray:
-    x = np.stack(list(vectors)).astype(np.float64)
-    x /= np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _keys(unit: np.ndarray, passes: int) -> np.ndarray:
+    """(rows, passes) sort keys: KEY_BITS signs of projections each, the first sign highest."""
+    planes = np.random.default_rng(unit.shape[1] * 1009 + 17).standard_normal((unit.shape[1], passes * KEY_BITS))
+    signs = (unit @ planes > 0).reshape(len(unit), passes, KEY_BITS)
+    return (signs @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))).astype(np.int32)
+
+
 def _usable(col: Column) -> Column:
     """Neither null, empty nor zero, and without null, NaN or infinite components."""
     finite = F.forall(col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.coalesce(finite & F.exists(col, lambda x: x != 0), F.lit(False))
 
 
-def _found(unit: np.ndarray, rows: np.ndarray, cols: np.ndarray, at: int, ids: np.ndarray, keys: np.ndarray, cosine: float) -> list:
-    """The candidate pairs (rows[i], cols[i]) at the cosine or above that no earlier pass is sure to have compared."""
-    keep = np.einsum("ij,ij->i", unit[rows], unit[cols]) >= cosine
-    rows, cols = rows[keep], cols[keep]
-    shift = KEY_BITS - PREFIX_BITS
-    earlier = ((keys[rows, :at] >> shift) == (keys[cols, :at] >> shift)).any(axis=1)
-    rows, cols = rows[~earlier], cols[~earlier]
-    return list(zip(np.minimum(ids[rows], ids[cols]), np.maximum(ids[rows], ids[cols])))
-
-
-def _in_window(passes: int, window: int, cosine: float):
-    def of(part: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of one block of positions, each vector with the ``window`` vectors after it."""
-        part = part.sort_values("position")
-        out: list = []
-        for (at, _, _), rows in part.groupby(["pass", "label", "dim"], sort=False):
-            unit, ids, lent = _unit(rows["vector"]), rows["class"].to_numpy(), rows["lent"].to_numpy()
-            keys = _keys(unit, passes)
-            for i in range(0, len(ids), _STRIP):
-                near = unit[i : i + _STRIP] @ unit[i : i + _STRIP + window].T
-                a, b = np.nonzero(near >= cosine - 1e-6)
-                keep = (b > a) & (b <= a + window)
-                a, b = a[keep] + i, b[keep] + i
-                keep = ~(lent[a] & lent[b])  # the neighbouring block has these
-                out += _found(unit, a[keep], b[keep], at, ids, keys, cosine)
-        return pd.DataFrame(out, columns=["a", "b"])
+@dataclass
+class _Rows:
+    """Vectors of one length, in the order of a pass: ids, copies, hashes of the label, prefixes (rows, passes), directions."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    part: np.ndarray
+    check: np.ndarray
+    prefixes: np.ndarray
+    unit: np.ndarray
+
+    @staticmethod
+    def of(batch: pa.RecordBatch | pa.Table, shift: int) -> _Rows:
+        def plain(name: str) -> np.ndarray:
+            return np.asarray(batch.column(name))
+
+        def matrix(name: str) -> np.ndarray:
+            col = batch.column(name)
+            flat = col.combine_chunks().flatten() if isinstance(col, pa.ChunkedArray) else col.flatten()
+            return np.asarray(flat).reshape(len(col), -1)
+
+        return _Rows(plain("class"), plain("n"), plain("part"), plain("check"), matrix("keys") >> shift, _unit(matrix("vector").astype(np.float64)))
+
+    def from_row(self, start: int) -> _Rows:
+        return _Rows(*[getattr(self, f.name)[start:] for f in fields(self)])
+
+    def then(self, other: _Rows) -> _Rows:
+        return _Rows(*[np.concatenate([getattr(self, f.name), getattr(other, f.name)]) for f in fields(self)])
+
+
+def _starts(changed: np.ndarray) -> np.ndarray:
+    """For each row the last row up to it that ``changed`` marks."""
+    return np.maximum.accumulate(np.where(changed, np.arange(len(changed)), 0))
+
+
+def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (each row's representative) after the links a - b."""
+    one, other = root[a], root[b]
+    apart = one != other
+    if not apart.any():
+        return root
+    codes = np.unique(np.minimum(one, other)[apart] * len(root) + np.maximum(one, other)[apart])
+    up = np.arange(len(root)).tolist()
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for code in codes.tolist():
+        x, y = sorted((top(code // len(root)), top(code % len(root))))
+        up[y] = x
+    return np.array([top(x) for x in range(len(root))])[root]
+
+
+def _compare(rows: _Rows, low: np.ndarray, high: np.ndarray, first: int, at: int, cosine: float) -> pa.RecordBatch:
+    """Links of each row from ``first`` on with the rows low to high - 1.
+
+    Pairs that share the prefix of this pass and of no earlier one belong to it: they are counted per vector, (a, null, n), and their
+    groups are given as a tree, (a, b, null), so a dense group gives no pair rows. Pairs that share no prefix in any pass were met by
+    the window; each is given both ways, (a, b, copies of b), as several passes may meet it.
+    """
+    size = len(rows.ids)
+    linked, root = np.zeros(size), np.arange(size)
+    met: list[np.ndarray] = []
+    for i in range(first, size, _STRIP):
+        mine = slice(i, min(i + _STRIP, size))
+        start, stop = int(low[mine].min()), int(high[mine].max())
+        if start >= stop:
+            continue
+        near = rows.unit[mine] @ rows.unit[start:stop].T
+        b, a = np.nonzero(near >= cosine - _SLACK)
+        value, a, b = near[b, a], a + start, b + i
+        keep = (a >= low[b]) & (a < high[b]) & (rows.part[a] == rows.part[b]) & (rows.check[a] == rows.check[b])
+        a, b, value = a[keep], b[keep], value[keep]
+        close = np.nonzero(value < cosine + _SLACK)[0]
+        value[close] = np.einsum("ij,ij->i", rows.unit[a[close]], rows.unit[b[close]])
+        a, b = a[value >= cosine], b[value >= cosine]
+        if not len(a):
+            continue
+        earlier, ever = np.zeros(len(a), bool), np.zeros(len(a), bool)
+        for k in range(rows.prefixes.shape[1]):
+            same = rows.prefixes[a, k] == rows.prefixes[b, k]
+            if k < at:
+                earlier |= same
+            elif k == at:
+                here = same
+            ever |= same
+        own = here & ~earlier
+        linked += np.bincount(a[own], rows.n[b[own]], size) + np.bincount(b[own], rows.n[a[own]], size)
+        root = _unite(root, a[own], b[own])
+        x, y = a[~ever], b[~ever]
+        met += [np.stack([rows.ids[x], rows.ids[y], rows.n[y]]), np.stack([rows.ids[y], rows.ids[x], rows.n[x]])]
+    counted, moved = np.nonzero(linked)[0], np.nonzero(root != np.arange(size))[0]
+    pairs = np.concatenate(met, axis=1) if met else np.zeros((3, 0), np.int64)
+    out_a = np.concatenate([rows.ids[counted], rows.ids[moved], pairs[0]])
+    out_b = np.concatenate([np.zeros(len(counted), np.int64), rows.ids[root[moved]], pairs[1]])
+    out_n = np.concatenate([linked[counted].astype(np.int64), np.zeros(len(moved), np.int64), pairs[2]])
+    kind = np.repeat([0, 1, 2], [len(counted), len(moved), pairs.shape[1]])
+    arrays = [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64(), mask=kind == 0), pa.array(out_n, pa.int64(), mask=kind == 1)]
+    return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "n"])
+
+
+def _sorted_neighbours(at: int, shift: int, window: int, cosine: float):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each vector of a sorted partition with those before it in its run, and in the window; keeps no more rows than these."""
+        carried: _Rows | None = None
+        for batch in batches:
+            dims = np.asarray(batch.column("dim"))
+            cuts = [0, *(np.nonzero(dims[1:] != dims[:-1])[0] + 1).tolist(), len(dims)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if start == stop:
+                    continue
+                rows, first = _Rows.of(batch.slice(start, stop - start), shift), 0
+                if carried is not None and carried.unit.shape[1] == rows.unit.shape[1]:
+                    first, rows = len(carried.ids), carried.then(rows)
+                label = np.append(True, (rows.part[1:] != rows.part[:-1]))
+                run = _starts(label | np.append(True, rows.prefixes[1:, at] != rows.prefixes[:-1, at]))
+                own = np.arange(len(run))
+                yield _compare(rows, np.maximum(_starts(label), np.minimum(run, own - window)), own, first, at, cosine)
+                carried = rows.from_row(max(0, min(int(run[-1]), len(run) - window)))
 
     return of
 
 
-def _in_run(passes: int, window: int, cosine: float):
-    def of(part: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of two blocks (or one) of a run of equal prefixes, further apart than the window."""
-        unit, ids, keys = _unit(part["vector"]), part["class"].to_numpy(), None
-        keys = _keys(unit, passes)
-        at, place = int(part["pass"].iloc[0]), part["place"].to_numpy()
-        block = part["block"].to_numpy()
-        left, right = np.nonzero(block == part["i"].iloc[0])[0], np.nonzero(block == part["j"].iloc[0])[0]
-        out: list = []
-        for k in range(0, len(left), _STRIP):
-            mine = left[k : k + _STRIP]
-            a, b = np.nonzero(unit[mine] @ unit[right].T >= cosine - 1e-6)
-            a, b = mine[a], right[b]
-            keep = place[b] > place[a] + window
-            out += _found(unit, a[keep], b[keep], at, ids, keys, cosine)
-        return pd.DataFrame(out, columns=["a", "b"])
+def _crowd_cell(at: int, shift: int, cosine: float):
+    def of(cell: pa.Table) -> pa.Table:
+        """Two blocks of a crowded run, each vector of one with each of the other; or one block with itself."""
+        cell = cell.sort_by("block")
+        rows = _Rows.of(cell, shift)
+        own = np.arange(len(rows.ids))
+        block = np.asarray(cell.column("block"))
+        if cell.column("i")[0].as_py() == cell.column("j")[0].as_py():
+            found = _compare(rows, np.zeros_like(own), own, 0, at, cosine)
+        else:
+            edge = int(np.searchsorted(block, block[-1]))  # a cell whose other block is empty has nothing to compare
+            found = _compare(rows, np.zeros_like(own), np.full_like(own, edge), edge, at, cosine)
+        return pa.Table.from_batches([found])
 
     return of
 
 
-def links(classes: DataFrame, cosine: float, passes: int, window: int) -> DataFrame:
-    """Distinct pairs (a, b) of different ``classes`` (class, label, dim, vector) found at the cosine or above.
+def links(classes: DataFrame, cosine: float, window: int = WINDOW, run: int = RUN, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+    """(a, b) edges that join all linked ``classes`` (class, label, dim, n, vector), and (class, linked): the vectors linked with each.
 
-    Every pass sorts all vectors by (label, hash) and compares each with the ``window`` that follow it, in blocks of
-    positions that lend each other their edges. Where more than ``window`` vectors share a prefix, the rest of that
-    run is compared too, block by block, so a large group of copies loses nothing; no group of rows exceeds 2 * BLOCK.
+    Every pass sorts the vectors by (label, hash) once and compares each with those before it that share its prefix, and with ``window``
+    others. The range partitions are cut between prefixes, so a run lies in one task; a run of more than ``crowd`` vectors is compared block by
+    block instead, exactly, by tasks of at most some ``crowd`` rows. Passes follow one another and free their shuffles, so the disk holds
+    one pass at a time.
     """
+    spark = classes.sparkSession
+    largest = classes.groupBy("label", "dim").count().agg(F.max("count")).first()[0]
+    bits, passes = plan_passes(largest or 0, cosine, run)
+    shift = KEY_BITS - bits
 
-    @F.pandas_udf("array<bigint>")
+    @F.pandas_udf("array<int>")
     def keys(vectors: pd.Series) -> pd.Series:
         out = pd.Series([None] * len(vectors), index=vectors.index, dtype=object)
         for _, same in vectors.groupby(vectors.map(len)):
-            out.loc[same.index] = list(_keys(_unit(same), passes))
+            out.loc[same.index] = list(_keys(_unit(np.stack(list(same)).astype(np.float64)), passes))
         return out
 
-    hashed = classes.select("class", "label", "dim", "vector", F.posexplode(keys("vector")).alias("pass", "key"))
-    order = [F.col(c) for c in ("pass", "label", "dim", "key", "class")]
-    placed = materialize(with_position(hashed, order, "position"))
-
-    block = F.floor((F.col("position") - 1) / BLOCK).cast("bigint")
-    inside = (F.col("position") - 1) % BLOCK
-    homes = F.when(inside < window, F.array(F.struct(block.alias("home"), F.lit(False).alias("lent")), F.struct((block - 1).alias("home"), F.lit(True).alias("lent"))))
-    homes = homes.otherwise(F.array(F.struct(block.alias("home"), F.lit(False).alias("lent"))))
-    near = placed.select("*", F.inline(homes)).groupBy("home").applyInPandas(_in_window(passes, window, cosine), "a bigint, b bigint")
-
-    prefix = F.shiftright("key", KEY_BITS - PREFIX_BITS)
-    run = F.xxhash64("pass", "label", "dim", prefix)
-    runs = placed.groupBy(run.alias("run")).agg(F.min("position").alias("start"), F.count("*").alias("n")).where(F.col("n") > window)
-    long = join_per_key(placed.withColumn("own", run), runs, [("own", "run")], "inner")
-    long = long.withColumn("place", F.col("position") - F.col("start")).withColumn("block", F.floor(F.col("place") / BLOCK).cast("bigint"))
-    others = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / BLOCK).cast("bigint"))
-    cells = F.transform(others, lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    far = long.select("*", F.inline(cells)).groupBy("run", "i", "j").applyInPandas(_in_run(passes, window, cosine), "a bigint, b bigint")
-    found = materialize(near.union(far).distinct())
-    drop_stored(placed)
-    return found
+    hashes = [F.xxhash64("label", "dim").alias("part"), F.xxhash64(F.lit(1), "label", "dim").alias("check")]
+    hashed = materialize(classes.select("class", "n", "dim", *hashes, keys("vector").alias("keys"), "vector"))
+    prefixes = hashed.select("dim", "part", F.posexplode("keys").alias("pass", "key")).withColumn("prefix", F.shiftright("key", shift))
+    crowds = materialize(prefixes.groupBy("pass", "dim", "part", "prefix").count().where(F.col("count") > crowd))
+    crowded = {r["pass"] for r in crowds.select("pass").distinct().collect()}
+
+    found = []
+    for at in range(passes):
+        rows = hashed.withColumn("key", F.col("keys")[at]).withColumn("prefix", F.shiftright("key", shift))
+        if at in crowded:
+            here = crowds.where(F.col("pass") == at).select(F.col("dim").alias("_dim"), F.col("part").alias("_part"), F.col("prefix").alias("_prefix"), "count")
+            runs = [("dim", "_dim"), ("part", "_part"), ("prefix", "_prefix")]
+            of_run = (F.col("dim") == F.col("_dim")) & (F.col("part") == F.col("_part")) & (F.col("prefix") == F.col("_prefix"))
+            # blocks by hash, so no position in a hot run has to be known
+            blocks = F.ceil(F.col("count") / (crowd / 2))
+            held = join_per_key(rows, here, runs, "inner").withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("class"), blocks)})
+            cells = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda k: F.struct(F.least(k, "block").alias("i"), F.greatest(k, "block").alias("j")))
+            held = held.select("class", "n", "dim", "part", "check", "keys", "vector", "prefix", "block", F.inline(cells))
+            found.append(materialize(held.groupBy("dim", "part", "prefix", "i", "j").applyInArrow(_crowd_cell(at, shift, cosine), _FOUND)))
+            rows = rows.join(here, of_run, "left_anti")
+        placed = rows.repartitionByRange("dim", "part", "prefix").sortWithinPartitions("dim", "part", "key", "class")
+        placed = placed.select("class", "n", "dim", "part", "check", "keys", "vector")
+        found.append(materialize(placed.mapInArrow(_sorted_neighbours(at, shift, window, cosine), _FOUND)))
+        release(spark)
+    drop_stored(hashed)
+    drop_stored(crowds)
+    every = found[0]
+    for table in found[1:]:
+        every = every.union(table)
+    met = every.where("b is not null and n is not null").distinct()
+    counted = every.where("b is null").union(met).groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("linked"))
+    edges = materialize(every.where("b is not null").select("a", "b"))
+    degrees = materialize(counted)
+    for table in found:
+        drop_stored(table)
+    return edges, degrees
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.93,
-                 passes: int = PASSES, window: int = WINDOW) -> DataFrame:
+                 window: int = WINDOW, run: int = RUN, crowd: int = CROWD) -> DataFrame:
     """(id, n_links, component_id, kept) for every row: links of equal label and cosine >= ``cosine`` in double precision.
 
-    All links found are true ones. A pair is found if it shares PREFIX_BITS signs in one of the passes, or stands within the
-    window of one; without the window's help, as on very large tables, that misses about 6 pairs in 100,000 at cosine 0.93 and 14 in a million
-    at 0.94, fewer at higher cosines and on small tables.
+    All links found are true ones. A pair is found if it shares a prefix in one of the passes, or stands within the window of one. Without
+    the window's help that misses 5 pairs in 100,000 at the threshold itself, whatever the table's size, and fewer at higher cosines; a label of up to
+    ``run`` different vectors is compared whole.
 
     Equal vectors of one label are one class and link with each other without being paired. Vectors that are null, empty or zero,
     or hold null or non-finite components, and rows without a label, link with nothing; so do vectors of
@@ -147,12 +272,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     usable = F.col("id").isNotNull() & F.col("label").isNotNull() & _usable(F.col("vector"))
     same = rows.where(usable).groupBy("label", "vector").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     classes = materialize(same.select("*", F.size("vector").alias("dim"), F.monotonically_increasing_id().alias("class")))
-    pairs = links(classes, cosine, passes, window)
-
-    sizes = classes.select(F.col("class").alias("_class"), "n")
-    both = pairs.union(pairs.select("b", "a"))
-    degree = both.join(sizes, F.col("b") == F.col("_class")).groupBy(F.col("a").alias("_a")).agg(F.sum("n").alias("_linked"))
+    pairs, degrees = links(classes, cosine, window, run, crowd)
     parts = components(pairs)
+    drop_stored(pairs)
+    degree = degrees.select(F.col("class").alias("_a"), F.col("linked").alias("_linked"))
     rooted = classes.join(parts, F.col("class") == F.col("node"), "left").withColumn("root", F.coalesce("component", "class"))
     lowest = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component_id"))
     of_class = join_per_key(rooted, lowest, [("root", "_root")], "inner").join(degree, F.col("class") == F.col("_a"), "left")

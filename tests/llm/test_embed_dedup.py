@@ -2,7 +2,9 @@
 
 import numpy as np
 
-from salesops.llm.embed_dedup import near_vectors
+import pytest
+
+from salesops.llm.embed_dedup import near_vectors, plan_passes
 from salesops.llm.queries import op4_embedding_near_dedup
 from tests.llm.brute import classes
 
@@ -26,13 +28,14 @@ def test_query_equals_brute_force(spark, sf):
     assert got == exact(rows)
 
 
-def test_a_group_larger_than_window_and_block(spark):
+@pytest.mark.parametrize("sizes", [{}, {"run": 64, "crowd": 300}, {"run": 4096, "crowd": 200}])
+def test_a_group_larger_than_window_and_block(spark, sizes):
     rng = np.random.default_rng(1)
     base = rng.standard_normal(16)
     rows = [(i, (base + 0.03 * rng.standard_normal(16)).astype("float32").tolist(), 1) for i in range(1500)]
     rows += [(2000 + i, rng.standard_normal(16).astype("float32").tolist(), i % 2) for i in range(300)]
     rows += [(5000 + i, rows[1700][1], rows[1700][2]) for i in range(40)]
-    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, SCHEMA), **sizes).collect()}
     assert got == exact(rows)
 
 
@@ -61,5 +64,13 @@ def test_pairs_at_the_threshold_without_the_window(spark):
         cosine = 0.9301 if i % 4 else rng.uniform(0.9301, 0.95)
         other = cosine * x + np.sqrt(1 - cosine**2) * y / np.linalg.norm(y)
         rows += [(2 * i, x.astype("float32").tolist(), 1), (2 * i + 1, other.astype("float32").tolist(), 1)]
-    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, SCHEMA), window=1).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, SCHEMA), window=1, run=4).collect()}
     assert got == exact(rows)
+
+
+def test_passes_keep_the_recall_while_runs_stay_short():
+    meet = 1 - np.arccos(0.93) / np.pi
+    for largest in (0, 1, 1024, 5000, 10**6, 10**8):
+        bits, passes = plan_passes(largest, 0.93)
+        assert largest / 2**bits <= 1024 and (1 - meet**bits) ** passes <= 5e-5
+    assert plan_passes(1024, 0.93) == (0, 1)
