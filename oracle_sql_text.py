@@ -245,6 +245,10 @@ SELECT p_partkey AS item_id, p_name AS item_name FROM part WHERE p_name LIKE '%r
 ORDER BY quarter(order_date), (month(order_date) - 1) // 4, order_date, l.order_id LIMIT 100 OFFSET 1000""",
     "orders_price_or_quantity_deep_page": _PRICE_OR_QUANTITY + """
 ORDER BY quarter(order_date), (month(order_date) - 1) // 4, order_date, l.order_id LIMIT 100 OFFSET 2000""",
+    "orders_page_walk": f"""
+WITH {_HEADS}
+SELECT order_id, heads.order_date, customer_id, total_cents FROM heads JOIN orders ON o_orderkey = order_id
+ORDER BY o_orderdate DESC NULLS LAST, order_id LIMIT 500 OFFSET 1000""",
     "expected_deliveries": f"""
 {_BOTH}
 SELECT s_name AS supplier_name, priority AS delivery_method, ship_date AS delivery_date, c_name AS contact_name
@@ -450,6 +454,11 @@ UNION ALL SELECT p_partkey, p_name, CAST(p_size AS VARCHAR) FROM part""",
     "segment_list_by_nation": """
 SELECT n_name AS nation_name, string_agg(c_mktsegment, ', ' ORDER BY c_mktsegment) AS segment_list
 FROM (SELECT DISTINCT n_name, c_mktsegment FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey) GROUP BY n_name""",
+    "customer_list_by_nation": """
+SELECT nation_name, (place - 1) // 20 + 1 AS part, string_agg(c_name, ', ' ORDER BY c_name) AS customer_name_list
+FROM (SELECT nation_name, c_name, row_number() OVER (PARTITION BY nation_name ORDER BY c_name) AS place
+      FROM (SELECT DISTINCT n_name AS nation_name, c_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey))
+GROUP BY nation_name, part""",
     "order_date_parts": f"""
 WITH {_HEADS}
 SELECT order_id, strftime(order_date, '%d.%m.%Y') AS date_text, strftime(order_date, '%Y-%m-%d') AS iso_text,
@@ -505,6 +514,9 @@ UNION ALL
 SELECT 'INSERT', count(*), max(c_custkey), CAST(sum(round(c_acctbal * 100)) AS BIGINT) FROM fresh""",
     "delimited_roundtrip": "SELECT * FROM customer",
     "delimited_roundtrip_wide": "SELECT * FROM customer",
+    "delimited_documents": "SELECT * FROM documents",
+    "new_dictionary_day": """
+SELECT c_custkey AS customer_id, true AS created_today, DATE '2099-01-01' AS valid_to, false AS is_del FROM customer""",
     "materialized_customers": """
 SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""",
     "xml_shred": _STOCK + "\nSELECT * FROM stock",

@@ -19,13 +19,19 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
     return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col(name) <= n)
 
 
-def latest_rows(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+def latest_values(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """The greatest ``order_col`` of each key, as ``latest_rows`` takes it (``_key_...``, ``_best``)."""
+    return df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.max(order_col).alias("_best"))
+
+
+def latest_rows(df: DataFrame, keys: list[str], order_col: str, best: DataFrame | None = None) -> DataFrame:
     """All rows that carry the greatest ``order_col`` of their key (dense_rank = 1), ties kept.
 
     The maximum per key is a map-side aggregate and the ties are found by a join that
-    AQE can split, so neither a hot key nor a hot tie ends up in one task.
+    AQE can split, so neither a hot key nor a hot tie ends up in one task. ``best`` gives maxima that are stored already
+    (``latest_values``).
     """
-    best = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.max(order_col).alias("_best"))
+    best = latest_values(df, keys, order_col) if best is None else best
     pairs = [(k, f"_key_{k}") for k in keys] + [(order_col, "_best")]
     return join_per_key(df, best, pairs, "left_semi")
 

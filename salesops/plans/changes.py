@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesops.functions.texts import concat_text
-from salesops.operators.dml import delete_where, insert_rows, merge, update_all, update_from, update_where
+from salesops.operators.dml import delete_where, insert_rows, merge, update_all, update_from, update_where, with_defaults
 from salesops.operators.predicates import like_any
 from salesops.operators.toplimit import top_n
-from salesops.sources import sales
+from salesops.sources import finance, sales
 from salesops.sources.delimited import read_delimited, write_delimited
 from salesops.sources.storage import empty_like, materialize, work_dir
 from salesops.sources.tables import load
@@ -120,6 +120,21 @@ def delimited_roundtrip_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited_roundtrip(spark, sf_dir, "UTF-16LE")
 
 
+def delimited_documents(spark: SparkSession, sf_dir: str, encoding: str = "UTF-16LE") -> DataFrame:
+    """Texts with line breaks through the two-byte exchange, in files of bounded size."""
+    table = load(spark, sf_dir, "documents")
+    path = work_dir(spark, "delimited")
+    write_delimited(table, path, encoding=encoding, escaped=True, rows_per_file=20_000)
+    return read_delimited(spark, path, table.schema, encoding=encoding, escaped=True)
+
+
+def new_dictionary_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients entered with the defaults of the run's own day, compared with that day."""
+    rows = sales.customers(spark, sf_dir).select("customer_id", "customer_name")
+    filled = with_defaults(rows, finance.dictionary_defaults())
+    return filled.select("customer_id", (F.col("create_date") == F.current_date()).alias("created_today"), "valid_to", "is_del")
+
+
 def materialized_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Select-into: the distinct buyers' rows stored as a table and read back, without generated columns."""
     buyers = sales.orders(spark, sf_dir).select(F.col("customer_id").alias("c_custkey")).distinct()

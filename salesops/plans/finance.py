@@ -23,9 +23,13 @@ CREATED = dt.date(1995, 1, 1)
 
 def staged_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One staged posting per order, each of them delivered twice."""
+    return _postings(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+
+
+def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = sales.orders(spark, sf_dir)
     clients = sales.customers(spark, sf_dir)
-    rows = orders.join(clients, "customer_id").select(
+    return orders.join(clients, "customer_id").select(
         F.col("order_ts").alias("carry_date"),
         sales.money("total_cents").alias("turnover_sum"),
         concat_text(F.lit("A"), F.col("customer_id")).alias("account_name"),
@@ -35,7 +39,6 @@ def staged_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("segment") == "BUILDING", "60").otherwise("62").alias("bal2"),
         concat_text(F.lit("nation="), F.col("nation_id")).alias("extra_data"),
     )
-    return rows.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
 
 
 def known_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +52,7 @@ def known_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def known_agreements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The agreements of finished orders, numbered by name."""
-    names = staged_postings(spark, sf_dir).filter(F.col("carry_ground") == "F").select("agreement_name").distinct()
+    names = _postings(spark, sf_dir).filter(F.col("carry_ground") == "F").select("agreement_name").distinct()
     rows = assign_ids(names, "id_agreement", [F.col("agreement_name")])
     filled = with_defaults(rows, finance.dictionary_defaults(F.lit(CREATED)))
     return filled.select("id_agreement", "agreement_name", "create_date", "valid_to", "is_del")

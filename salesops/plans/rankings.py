@@ -13,7 +13,7 @@ from salesops.operators.ordered import Neighbour, dense_ranks, running_sum, tile
 from salesops.operators.predicates import in_period, keep_in
 from salesops.operators.predicates import keep_in
 from salesops.operators.skew import join_per_key
-from salesops.operators.windows import latest_rows, top_n_per_group, with_group_total, within_top_values
+from salesops.operators.windows import latest_rows, latest_values, top_n_per_group, with_group_total, within_top_values
 from salesops.sources import sales
 from salesops.sources.storage import materialize
 
@@ -59,11 +59,15 @@ def item_functions(spark: SparkSession, sf_dir: str, tiles: int = 30) -> DataFra
 def last_customer_by_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers of each seller's last day of sales with the order's sum, one row per line.
 
-    The last days are few orders: they are stored, and sums are made for those orders only.
+    Each seller's last day comes first, one row per seller; the facts then meet those days only. The last days are few orders: they are
+    stored, and sums are made for those orders only.
     """
     heads = sales.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
-    sold = materialize(sales.lines(spark, sf_dir).select("order_id", "supplier_id", "line_no", "item_id").join(heads, "order_id"))
-    last = materialize(latest_rows(sold, ["supplier_id"], "order_date"))
+    lines = sales.lines(spark, sf_dir).select("order_id", "supplier_id", "line_no", "item_id")
+    days = lines.select("order_id", "supplier_id").join(heads.select("order_id", "order_date"), "order_id")
+    days = materialize(latest_values(days, ["supplier_id"], "order_date"))
+    on_days = join_per_key(heads, days.select("_best").distinct(), [("order_date", "_best")], "left_semi")
+    last = materialize(latest_rows(lines.join(on_days, "order_id"), ["supplier_id"], "order_date", days))
     wanted = keep_in(sales.lines(spark, sf_dir).select(F.col("order_id").alias("_sum_order"), "amount_cents"),
                      last.select(F.col("order_id").alias("_sum_order")), ["_sum_order"])
     sums = wanted.groupBy("_sum_order").agg(F.sum("amount_cents").alias("sum_cents"))

@@ -21,6 +21,7 @@ _FUNCTIONS: list[Query] = [
     selections.orders_price_or_quantity,
     selections.orders_price_or_quantity_page,
     selections.orders_price_or_quantity_deep_page,
+    selections.orders_page_walk,
     selections.expected_deliveries,
     selections.expected_deliveries_by_month,
     selections.last_sales_with_ties,
@@ -65,6 +66,7 @@ _FUNCTIONS: list[Query] = [
     reshaping.addresses_unpivot,
     reshaping.codes_unpivot,
     reshaping.segment_list_by_nation,
+    reshaping.customer_list_by_nation,
     # scalar functions
     scalars.order_date_parts,
     scalars.days_to_ship,
@@ -82,6 +84,8 @@ _FUNCTIONS: list[Query] = [
     changes.merge_parties_log,
     changes.delimited_roundtrip,
     changes.delimited_roundtrip_wide,
+    changes.delimited_documents,
+    changes.new_dictionary_day,
     changes.materialized_customers,
     # versions of stored tables
     versions.merge_month,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesops.functions.dates import date_text, month_start
 from salesops.functions.texts import between_parentheses, concat_text
-from salesops.operators.aggregates import ordered_text
+from salesops.operators.aggregates import ordered_text, ordered_text_parts
 from salesops.operators.joins import lookup
 from salesops.operators.reshape import long_cells, pivot_dynamic, pivot_sum, unpivot_columns
 from salesops.sources import sales
@@ -81,3 +81,9 @@ def segment_list_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per nation, its customers' segments in order, in one text."""
     rows = lookup(sales.customers(spark, sf_dir).select("nation_id", "segment"), sales.nations(spark, sf_dir), ["nation_id"])
     return ordered_text(rows, ["nation_name"], "segment", ", ")
+
+
+def customer_list_by_nation(spark: SparkSession, sf_dir: str, width: int = 20) -> DataFrame:
+    """Per nation, all its customers' names in order, in texts of ``width`` names."""
+    rows = lookup(sales.customers(spark, sf_dir).select("nation_id", "customer_name"), sales.nations(spark, sf_dir), ["nation_id"])
+    return ordered_text_parts(rows, ["nation_name"], "customer_name", ", ", width)

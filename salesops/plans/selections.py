@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesops.functions import dates
 from salesops.operators.joins import lookup, without_related, without_related_full
 from salesops.operators.predicates import in_month, in_period, in_trimmed, keep_in, like_any, not_in
-from salesops.operators.toplimit import deep_page, page, top_n, top_n_distinct, top_with_ties
+from salesops.operators.toplimit import deep_page, last_key, page, page_after, top_n, top_n_distinct, top_with_ties
 from salesops.sources import sales
 from salesops.sources.facts import in_months_of, store_by_month
 from salesops.sources.storage import work_dir
@@ -96,6 +96,19 @@ def orders_price_or_quantity_deep_page(spark: SparkSession, sf_dir: str, start:
     return deep_page(rows, _calendar_order(False), start, width, num).drop("order_date", *LINE_KEY)
 
 
+def orders_page_walk(spark: SparkSession, sf_dir: str, width: int = 500, num: int = 3) -> DataFrame:
+    """Page ``num`` of the orders, latest first, reached page by page from the last row seen; only that row's key comes to the driver."""
+    order = {"order_ts": True, "order_id": False}
+    rows = sales.orders(spark, sf_dir).select("order_id", "order_ts", "customer_id", "total_cents")
+    seen = page_after(rows, order, width)
+    for _ in range(num - 1):
+        key = last_key(seen, order)
+        if key is None:
+            break
+        seen = page_after(rows, order, width, key)
+    return seen.select("order_id", F.to_date("order_ts").alias("order_date"), "customer_id", "total_cents")
+
+
 def expected_deliveries(spark: SparkSession, sf_dir: str, year: int = 1997, month: int = 1,
                         methods: tuple[str, ...] = ("1-URGENT", "2-HIGH")) -> DataFrame:
     """Deliveries due in a month, of finished orders sent by one of the methods."""

@@ -7,7 +7,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from salesops.operators.ordered import Neighbour, dense_ranks, running_sum, tile, with_dense_rank, with_position
-from salesops.operators.toplimit import deep_page, page
+from salesops.operators.aggregates import ordered_text, ordered_text_parts
+from salesops.operators.toplimit import deep_page, last_key, page, page_after
+from salesops.plans import selections
+from salesops.sources import sales
 from tests.conftest import rows
 
 
@@ -95,3 +98,44 @@ def test_nothing_runs_in_one_task(data):
     plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
     gathered = [plan[i + 1] for i, line in enumerate(plan) if "Exchange SinglePartition" in line]
     assert gathered and all("HashAggregate(keys=[_bucket" in line for line in gathered)
+
+
+@pytest.mark.parametrize("down", [False, True])
+def test_pages_by_last_key_give_the_whole_order_once(data, down):
+    order = {"name": down, "v": not down, "id": down}
+    sort = [F.col(c).desc() if d else F.col(c).asc() for c, d in order.items()]
+    walked, key = [], None
+    while True:
+        seen = page_after(data, order, 50, key)
+        got = [tuple(r) for r in seen.collect()]
+        if not got:
+            break
+        walked += got
+        key = last_key(seen, order)
+        assert key == dict(zip(["id", "name", "v"], got[-1]))
+    assert walked == [tuple(r) for r in data.orderBy(*sort).collect()]
+    assert last_key(data.limit(0), order) is None
+
+
+def test_next_page_is_a_pushed_filter_and_a_top_k(spark, sf):
+    rows_ = sales.orders(spark, sf).select("order_id", "order_ts")
+    order = {"order_ts": False, "order_id": False}
+    key = last_key(page_after(rows_, order, 700), order)
+    plan = page_after(rows_, order, 20, key)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "TakeOrderedAndProject" in plan
+    assert "rangepartitioning" not in plan and "Exchange" not in plan
+    assert selections.orders_page_walk(spark, sf, 100, 10**3).count() == 0
+
+
+def test_text_of_a_hot_key_in_parts(spark):
+    hot = spark.range(30_000).select(F.lit("hot").alias("k"), F.format_string("%06d", F.col("id") % 20_000).alias("w"))
+    rest = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", None), (None, "z"), ("n", None), ("n", None)], "k string, w string")
+    got = ordered_text_parts(hot.union(rest), ["k"], "w", "-", 500).collect()
+    texts = {}
+    for r in sorted(got, key=lambda r: (str(r.k), r.part)):
+        assert r.w_list is None or r.w_list.count("-") < 500
+        texts.setdefault(r.k, []).append(r.w_list)
+    assert len(texts["hot"]) == 40 and texts["a"] == ["x-y"] and texts["n"] == [None] and texts[None] == ["z"]
+    whole = {r.k: r.w_list for r in ordered_text(hot.union(rest), ["k"], "w", "-").collect()}
+    assert {k: None if t == [None] else "-".join(t) for k, t in texts.items()} == whole
+    assert ordered_text_parts(rest.limit(0), ["k"], "w").count() == 0

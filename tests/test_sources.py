@@ -130,3 +130,14 @@ def test_work_folder_follows_the_session(spark):
     assert first != second
     if base:
         assert first.startswith(base.rstrip("/") + "/salesops/" + spark.sparkContext.applicationId)
+
+
+@pytest.mark.parametrize("encoding", ["UTF-8", "UTF-16LE"])
+def test_any_text_through_the_escaped_exchange(spark, tmp_path, encoding):
+    texts = ["a\nb", "\r\n", "^", "^n", "^c^r", SEPARATOR, f"x{SEPARATOR}\ny", 'quo"te\n"', "\\n", "\\", "end\\", "", None, " ", "Жук\n😀", '"', ",\t"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 20)], "`n.m` int, t string").repartition(1)
+    path = str(tmp_path / "x")
+    write_delimited(df, path, encoding=encoding, escaped=True, rows_per_file=50)
+    back = read_delimited(spark, path, df.schema, encoding=encoding, escaped=True)
+    assert rows(back) == rows(df)
+    assert len(glob.glob(f"{path}/part-*")) == 7 and len({r[0] for r in back.select(F.spark_partition_id()).distinct().collect()}) > 1
