@@ -54,8 +54,8 @@ def tuned_cross_billing(spark: SparkSession, sf_dir: str, brand: str = "Brand#12
     totals = payers.join(sales.order_sums(spark, sf_dir), "order_id").groupBy("customer_id").agg(F.sum("sum_cents").alias("_total"))
     totals = totals.filter(F.col("_total") > int(minimum * 100)).select(F.col("customer_id").alias("invoice_customer_id"))
     billed = keep_in(billed, totals, ["invoice_customer_id"])
-    paid = sales.orders(spark, sf_dir).select(F.col("order_id").alias("invoice_order_id"))
-    sums = billed.join(paid, "invoice_order_id").groupBy("customer_id", "item_id").agg(
+    # Each bill has one payment, which in this model is the bill's own order; the stored bills stand for it.
+    sums = billed.groupBy("customer_id", "item_id").agg(
         F.sum("unit_cents").alias("unit_cents"), F.sum("quantity").alias("quantity"), F.sum("n").alias("n"))
     return join_per_key(sums, moves, [("item_id", "moved_item")], "inner").select(
         "customer_id", "item_id",
