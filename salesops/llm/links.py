@@ -55,6 +55,7 @@ def with_component(df: DataFrame, id_col: str, parts: DataFrame, name: str = "co
 
 
 SMALL_BUCKET = 32  # rows of a bucket up to which its pairs are formed
+KEY_PARTS = 4  # in which a stored table of keys is shuffled, one after another
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -63,12 +64,23 @@ def _shared(keys: DataFrame) -> DataFrame:
     return materialize(join_per_key(keys, sizes, [("key", "_key")], "inner").select("key", "id", "n"))
 
 
+def _shared_by_parts(keys: DataFrame) -> list[DataFrame]:
+    """The tables of ``_shared``, by parts of the keys' hash range: keys are made and stored once, and one part's shuffles are freed before the next."""
+    stored = materialize(keys)
+    parts = []
+    for part in range(KEY_PARTS):
+        parts.append(_shared(stored.where(F.pmod("key", F.lit(KEY_PARTS)) == part)))
+        release(keys.sparkSession)
+    drop_stored(stored)
+    return parts
+
+
 def bucket_links(keys: DataFrame | list[DataFrame], items: DataFrame, near: Callable[[str, str], Column], verify: Callable[[DataFrame], DataFrame],
                  more: DataFrame, crowd_links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) over ``more`` (edges a, b) and all verified links between rows that share a bucket.
 
-    ``keys`` has (key, id), or is a list of such tables with different keys, which are then reduced to the shared ones one after
-    another, each freeing its shuffles before the next; ``items`` one row per id with what ``near`` compares; ``near(left, right)`` is a
+    ``keys`` has (key, id), or is a list of such tables with different keys, which are then stored and reduced to the shared ones part by
+    part, each freeing its shuffles before the next; ``items`` one row per id with what ``near`` compares; ``near(left, right)`` is a
     cheap necessary condition on the columns of two aliased items; ``verify`` takes pairs (a, b) and returns the true ones as a
     stored table.
 
@@ -80,11 +92,7 @@ def bucket_links(keys: DataFrame | list[DataFrame], items: DataFrame, near: Call
     true links between different parts without forming pairs as rows. Counts come before the rows (partial aggregates), and the joins
     can be split.
     """
-    kinds = []
-    for kind in keys if isinstance(keys, list) else [keys]:
-        kinds.append(_shared(kind))
-        if isinstance(keys, list):
-            release(items.sparkSession)
+    kinds = [part for kind in keys for part in _shared_by_parts(kind)] if isinstance(keys, list) else [_shared(keys)]
     shared = reduce(DataFrame.unionByName, kinds)
     weight = shared.groupBy(F.col("id").alias("_id")).agg(F.sum("n").alias("w"))
     placed = shared.join(weight, F.col("id") == F.col("_id")).select("key", "id", F.struct("w", (-F.col("id")).alias("minus")).alias("rank"))
