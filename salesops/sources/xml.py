@@ -18,6 +18,7 @@ ITEM_COLUMNS = [
     "TypicalWeightPerUnit", "LeadTimeDays", "IsChillerStock", "TaxRate", "UnitPrice",
 ]
 CORRUPT = "_corrupt_record"
+ITEMS_PER_FILE = 50_000  # some 25 MB; an XML file is read whole by one task
 
 
 def _flatten(item: str = "") -> list[Column]:
@@ -117,11 +118,17 @@ def item_documents(df: DataFrame, xml_col: str = "document") -> DataFrame:
 
 
 def write_xml_items(df: DataFrame, path: str, attribute: str = "Name") -> None:
-    """Item rows to files of one StockItems document each, written by all tasks in parallel."""
+    """Item rows to files of one StockItems document each, of ITEMS_PER_FILE items at most.
+
+    The text is many times as large as the rows it is made of, so rows are spread evenly over the writing tasks, however few
+    tasks read them, and the number of files grows with the rows: no task writes or reads a share of them.
+    """
     (
         df.select(item_struct(attribute).alias("_item"))
         .select("_item.*")
+        .hint("rebalance")
         .write.format("xml")
+        .option("maxRecordsPerFile", ITEMS_PER_FILE)
         .option("rootTag", "StockItems")
         .option("rowTag", "Item")
         .mode("errorifexists")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salesops.plans.documents import stock_items
 from salesops.functions.texts import all_tags, has_tag, json_fields, properties
+from salesops.sources import xml
 from salesops.sources.delimited import SEPARATOR, read_delimited, write_delimited
 from salesops.sources.storage import empty_like, materialize, work_dir
 from salesops.sources.tables import SCHEMAS, load, schema_of
@@ -56,6 +57,17 @@ def test_xml_file_roundtrip_and_attribute(spark, tmp_path):
     assert 'ItemName="plain"' in "".join(open(f).read() for f in glob.glob(str(tmp_path / "y" / "part-*")))
 
 
+def test_xml_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(xml, "ITEMS_PER_FILE", 10)
+    df = spark.range(95, numPartitions=1).selectExpr(
+        "concat('item ', id) AS StockItemName", "int(id) AS SupplierID", "7 AS UnitPackageID", "7 AS OuterPackageID", "1 AS QuantityPerOuter",
+        "0.5D AS TypicalWeightPerUnit", "14 AS LeadTimeDays", "0 AS IsChillerStock", "15.0D AS TaxRate", "2.5D AS UnitPrice")
+    write_xml_items(df, str(tmp_path / "x"))
+    held = [open(f).read().count("<Item ") for f in glob.glob(str(tmp_path / "x" / "part-*"))]
+    assert sum(held) == 95 and max(held) <= 10
+    assert rows(read_xml_items(spark, str(tmp_path / "x"))) == rows(df)
+
+
 def test_xml_rejects_malformed_items(spark, tmp_path):
     (tmp_path / "items.xml").write_text(
         '<StockItems><Item Name=" ok "><SupplierID>4</SupplierID></Item>'
