@@ -10,10 +10,11 @@ from salesops.sources.storage import work_dir
 from salesops.sources.tables import load
 from salesops.streaming.replies import read_answered, read_open, run_reception
 from salesops.streaming.requests import (
-    compact_reports, count_invoices, once, read_rejected, read_replies, read_reports, request_messages, request_stream, run_decoding, run_reports,
+    MESSAGE, compact_reports, count_invoices, once, read_rejected, read_replies, read_reports, request_messages, request_stream, run_decoding, run_reports,
 )
 
 YEARS_BACK = 28  # events are dated 2024, orders start in 1995
+BATCH_FILES = 24  # of messages per batch: a file is decoded by one task
 
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,26 +30,25 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _inbox(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
-    """The messages put in an inbox, in a number of files where given."""
+def _inbox(spark: SparkSession, sf_dir: str, batches: int = 1) -> str:
+    """The messages put in an inbox, in BATCH_FILES files for each of a number of batches."""
     inbox = work_dir(spark, "requests")
-    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir))
-    (messages.repartition(files, "request_id") if files else messages).write.parquet(inbox)
+    request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir), batches * BATCH_FILES).write.parquet(inbox)
     return inbox
 
 
-def _run(spark: SparkSession, sf_dir: str, as_written: bool, files: int | None = None) -> str:
-    """Put the messages in an inbox and run the stream over it to the end; the output folder. With ``files``, each is a batch."""
-    out_dir = work_dir(spark, "reports")
-    invoices = sales.orders(spark, sf_dir).select("customer_id", "order_date", "order_ts")
-    messages = request_stream(spark, _inbox(spark, sf_dir, files), 1 if files else 1000)
-    run_reports(messages, invoices, out_dir, as_written).awaitTermination()
+def _run(spark: SparkSession, sf_dir: str, as_written: bool, batches: int = 1) -> str:
+    """Put the messages in an inbox and run the stream over it to the end, in a number of batches; the output folder."""
+    out_dir, inbox = work_dir(spark, "reports"), _inbox(spark, sf_dir, batches)
+    n_files = len(spark.read.schema(MESSAGE).parquet(inbox).inputFiles())  # fewer than BATCH_FILES a batch where a table is tiny
+    messages = request_stream(spark, inbox, -(-n_files // batches))
+    run_reports(messages, _invoices(spark, sf_dir), out_dir, as_written).awaitTermination()
     return out_dir
 
 
 def report_requests_stream(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
-    """Report rows with their replies; every accepted request has one."""
-    out_dir = _run(spark, sf_dir, as_written=False, files=files)
+    """Report rows with their replies; every accepted request has one. ``files``: the batches in which the messages arrive."""
+    out_dir = _run(spark, sf_dir, as_written=False, batches=files or 1)
     replies = read_replies(spark, out_dir).select("request_id", F.col("report_id").alias("replied_id"))
     joined = read_reports(spark, out_dir).join(replies, "request_id")
     return joined.select(
@@ -82,10 +82,10 @@ def _invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def report_requests_delivered_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports when every message is delivered twice, in different batches: each request is reported once."""
     inbox, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports")
-    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir))
-    for key in ("request_id", "body"):  # two deliveries, differently dealt into files
-        messages.repartition(2, key).write.mode("append").parquet(inbox)
-    run_reports(once(request_stream(spark, inbox, 1)), _invoices(spark, sf_dir), out_dir).awaitTermination()
+    requests, customers = event_requests(spark, sf_dir), sales.customers(spark, sf_dir)
+    for key in (F.col("request_id"), F.xxhash64("request_id")):  # two deliveries, differently dealt into files
+        request_messages(requests, customers, 2 * BATCH_FILES, key).write.mode("append").parquet(inbox)
+    run_reports(once(request_stream(spark, inbox, BATCH_FILES)), _invoices(spark, sf_dir), out_dir).awaitTermination()
     return read_reports(spark, out_dir).select("request_id", "customer_id", "begin_date", "end_date", "counter")
 
 

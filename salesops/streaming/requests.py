@@ -30,8 +30,12 @@ REPLY = "request_id bigint, body string"
 TABLES = {"requests": REQUEST, "answers": f"{REPORT}, written boolean", "reports": REPORT, "replies": REPLY}
 
 
-def request_messages(requests: DataFrame, customers: DataFrame) -> DataFrame:
-    """Requests (request_id, customer_id, begin_date, end_date) as messages; an unknown customer has no body."""
+def request_messages(requests: DataFrame, customers: DataFrame, parts: int | None = None, by: Column | str = "request_id") -> DataFrame:
+    """Requests (request_id, customer_id, begin_date, end_date) as messages; an unknown customer has no body.
+
+    With ``parts``, rows are dealt by ``by`` into so many tasks, and so files when written, before their text is made: the few row groups of a
+    small file would else make all texts in few tasks, and a file of messages is decoded by one task.
+    """
     known = customers.select("customer_id", F.lit(True).alias("_known"))
     named = requests.join(known, "customer_id", "left").select(
         "request_id",
@@ -40,6 +44,8 @@ def request_messages(requests: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("end_date").alias("EndDate"),
         "_known",
     )
+    if parts:
+        named = named.repartition(parts, by)
     full = to_request_xml(named, ["CustomerID", "BeginDate", "EndDate"])
     return full.select("request_id", F.when(F.col("_known"), F.col("body")).alias("body"))
 

@@ -6,9 +6,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from salesops.plans import requests as plans
 from salesops.streaming import batches
 from salesops.streaming.batches import STATE, merged_upto, read_batches, visible_batches
-from salesops.streaming.replies import read_answered, read_open, receive_batch, run_reception
+from salesops.streaming.replies import read_answered, read_open, receive_batch, reply_ids, run_reception
 from salesops.streaming.requests import REPLY, TABLES, compact_reports, once, read_replies, read_reports, report_batch, request_messages, request_stream, run_reports
 from tests.conftest import rows
 
@@ -132,3 +133,27 @@ def test_early_replies_and_replayed_batches(spark, invoices, tmp_path):
         assert rows(read_answered(spark, out)) == [(0, 1), (1, 2)] and rows(read_open(spark, out)) == [(7,)]
     early = spark.read.schema("request_id bigint, report_id bigint").parquet(f"{out}/early/batch_id=1")
     assert rows(early.select("request_id").where(F.col("report_id") > 0)) == [(2,), (3,)]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Events 0 to 299 of ten customers, two of them unknown, with an order a day for each known one."""
+    base = str(tmp_path_factory.mktemp("tables"))
+    spark.range(300, numPartitions=1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 10:00:00' AS ts", "id % 10 AS user_id", "'view' AS event_type", "1.0D AS value",
+        "concat('{\"k\": ', id % 7, '}') AS props").write.parquet(f"{base}/events.parquet")
+    spark.range(8).selectExpr("id AS c_custkey", "'n' AS c_name", "1 AS c_nationkey", "0.0D AS c_acctbal", "'s' AS c_mktsegment").write.parquet(f"{base}/customer.parquet")
+    spark.range(80).selectExpr(
+        "id AS o_orderkey", "id % 8 AS o_custkey", "'F' AS o_orderstatus", "1.0D AS o_totalprice",
+        "cast(date_add(date'1996-01-01', int(id div 8)) AS timestamp_ntz) AS o_orderdate", "'5' AS o_orderpriority").write.parquet(f"{base}/orders.parquet")
+    return base
+
+
+COUNTED = sorted(((i, i % 7 + 1) for i in range(300) if i % 10 < 8), key=repr)
+
+
+def test_three_batches_of_many_files(spark, tables):
+    assert files(plans._inbox(spark, tables, 3)) > 2 * plans.BATCH_FILES  # decoded by as many tasks, not by one a batch
+    out = plans._run(spark, tables, as_written=False, batches=3)
+    assert {r.batch_id for r in read_reports(spark, out).select("batch_id").distinct().collect()} == {0, 1, 2}
+    assert rows(plans.report_requests_batches(spark, tables).where("replied").select("request_id", "counter")) == COUNTED
