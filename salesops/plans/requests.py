@@ -92,11 +92,11 @@ def report_requests_delivered_twice(spark: SparkSession, sf_dir: str) -> DataFra
 def report_requests_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reports after the job's batches were merged into one, and two more batches came in."""
     inbox, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports")
-    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir))
+    messages = request_messages(event_requests(spark, sf_dir), sales.customers(spark, sf_dir), 2 * BATCH_FILES)
     late = F.pmod(F.xxhash64("request_id"), F.lit(2)) == 1
     for part in (~late, late):
-        messages.where(part).repartition(2, "request_id").write.mode("append").parquet(inbox)
-        run_reports(request_stream(spark, inbox, 1), _invoices(spark, sf_dir), out_dir).awaitTermination()
+        messages.where(part).write.mode("append").parquet(inbox)
+        run_reports(request_stream(spark, inbox, BATCH_FILES), _invoices(spark, sf_dir), out_dir).awaitTermination()
         compact_reports(spark, out_dir)
     return read_reports(spark, out_dir).select("request_id", "customer_id", "begin_date", "end_date", "counter")
 

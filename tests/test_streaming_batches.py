@@ -157,3 +157,17 @@ def test_three_batches_of_many_files(spark, tables):
     out = plans._run(spark, tables, as_written=False, batches=3)
     assert {r.batch_id for r in read_reports(spark, out).select("batch_id").distinct().collect()} == {0, 1, 2}
     assert rows(plans.report_requests_batches(spark, tables).where("replied").select("request_id", "counter")) == COUNTED
+
+
+def inboxes(monkeypatch):
+    """The folders from which the reports read their requests, from now on."""
+    seen, plain = [], plans.request_stream
+    monkeypatch.setattr(plans, "request_stream", lambda spark, path, *rest: (seen.append(path), plain(spark, path, *rest))[1])
+    return seen
+
+
+def test_compacted_batches_of_many_files(spark, tables, monkeypatch):
+    seen = inboxes(monkeypatch)
+    found = plans.report_requests_compacted(spark, tables)
+    assert files(seen[0]) > 3 * plans.BATCH_FILES  # four batches
+    assert rows(found.select("request_id", "counter")) == COUNTED
