@@ -106,7 +106,7 @@ def _cut_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     inbox, report_dir, out_dir = work_dir(spark, "requests"), work_dir(spark, "reports"), work_dir(spark, "reception")
     requests = event_requests(spark, sf_dir)
     half = requests.agg(F.floor((F.min("request_id") + F.max("request_id")) / 2)).scalar()
-    messages = request_messages(requests, sales.customers(spark, sf_dir)).withColumn("_first", F.col("request_id") <= half)
+    messages = request_messages(requests, sales.customers(spark, sf_dir), BATCH_FILES).withColumn("_first", F.col("request_id") <= half)
     messages.where("_first").drop("_first").write.parquet(inbox)
     run_reports(request_stream(spark, inbox), _invoices(spark, sf_dir), report_dir).awaitTermination()
     messages.where("NOT _first").drop("_first").write.mode("append").parquet(inbox)

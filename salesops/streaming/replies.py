@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesops.operators.skew import join_per_key
 from salesops.streaming.batches import STATE, last_visible, read_batches
-from salesops.streaming.requests import REPLY
+from salesops.streaming.requests import REPLY, replied_id
 
 OPEN = "request_id bigint"
 EARLY = "request_id bigint, report_id bigint"
@@ -23,7 +23,7 @@ ANSWERED = EARLY
 
 def reply_ids(replies: DataFrame) -> DataFrame:
     """(request_id, report_id) of reply messages."""
-    return replies.select("request_id", F.xpath_long("body", F.lit("/ReportID")).alias("report_id"))
+    return replies.select("request_id", replied_id("body").alias("report_id"))
 
 
 def receive_batch(spark: SparkSession, report_dir: str, out_dir: str) -> Callable[[DataFrame, int], None]:

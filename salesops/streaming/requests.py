@@ -202,6 +202,12 @@ def run_reports(messages: DataFrame, invoices: DataFrame, out_dir: str, as_writt
     )
 
 
+def replied_id(body: str) -> Column:
+    """The report id of a reply message. The plain form, which the job writes, is read as text; any other by XPath, which builds a document per row."""
+    plain = F.regexp_extract(body, r"^<ReportID>(\d+)</ReportID>$", 1).try_cast("bigint")
+    return F.coalesce(plain, F.xpath_long(body, F.lit("/ReportID")))
+
+
 def _read(spark: SparkSession, out_dir: str, table: str, schema: str) -> DataFrame:
     return read_batches(spark, out_dir, table, schema)
 
@@ -213,7 +219,7 @@ def read_reports(spark: SparkSession, out_dir: str) -> DataFrame:
 def read_replies(spark: SparkSession, out_dir: str) -> DataFrame:
     """Replies by request, with the report id taken from the message."""
     replies = _read(spark, out_dir, "replies", REPLY)
-    return replies.withColumn("report_id", F.xpath_long("body", F.lit("/ReportID")))
+    return replies.withColumn("report_id", replied_id("body"))
 
 
 def read_rejected(spark: SparkSession, out_dir: str) -> DataFrame:

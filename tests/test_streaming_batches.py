@@ -171,3 +171,17 @@ def test_compacted_batches_of_many_files(spark, tables, monkeypatch):
     found = plans.report_requests_compacted(spark, tables)
     assert files(seen[0]) > 3 * plans.BATCH_FILES  # four batches
     assert rows(found.select("request_id", "counter")) == COUNTED
+
+
+def test_open_requests_of_many_files(spark, tables, monkeypatch):
+    seen = inboxes(monkeypatch)
+    found = plans.requests_still_open(spark, tables)
+    assert files(seen[0]) > plans.BATCH_FILES  # two parts
+    assert rows(found) == sorted(((i,) for i in range(300) if i > 149 or i % 10 > 7), key=repr)
+
+
+def test_reply_ids_of_any_message(spark):
+    bodies = ["<ReportID>12</ReportID>", "<ReportID>9007199254740993</ReportID>", "<ReportID> 5 </ReportID>", "<?xml version='1.0'?><ReportID a='1'>7</ReportID>",
+              "<ReportID>-3</ReportID>", "<Other>4</Other>", "<ReportID>x</ReportID>", "<ReportID>1</ReportID>\n", None]
+    got = {r.request_id: r.report_id for r in reply_ids(spark.createDataFrame(list(enumerate(bodies)), "request_id bigint, body string")).collect()}
+    assert [got[i] for i in range(len(bodies))] == [12, 9007199254740993, 5, 7, -3, 0, 0, 1, None]  # XPath alone gives ...992, a double
